@@ -11,9 +11,11 @@ from pyspark.sql import types as T
 from verification import made_documents
 from wattline import schemas
 from wattline.operators import checks, projections, versions
-from wattline.plans import models, quality
-from wattline.session import configure
-from wattline.sources import bridge, documents, manifest, zones
+from wattline.plans import ingest, marts, models, quality
+from wattline.session import configure, work_folder
+from wattline.sinks import tables as sinks
+from wattline.sources import bridge, documents, manifest, tables, zones
+from wattline.streaming import ingest as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -213,6 +215,146 @@ def interval_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(manifest.parsed_intervals(texts, "start_text", "end_text"))
 
 
+def _folder(spark: SparkSession, label: str) -> str:
+    return work_folder(spark, f"query-{label}")
+
+
+def _half(df: DataFrame, number: int) -> DataFrame:
+    return df.filter(F.col("event_id") % 2 == number)
+
+
+def landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings of all load documents; the second brings other payloads for the names."""
+    documents = made_documents.load_documents(_events(spark, sf_dir))
+    other = documents.withColumn("content", F.lit("<late/>").cast("binary"))
+    root = _folder(spark, "landing")
+    ingest.land(spark, _half(documents, 0), schemas.LOAD, root)
+    again = ingest.land(spark, other, schemas.LOAD, root)
+    kept = ingest.landed(spark, root).select(
+        "source_object_name", F.sha2("content", 256).alias("payload_hash")
+    )
+    late = F.sha2(F.lit("<late/>").cast("binary"), 256)
+    return again.join(kept, "source_object_name").select(
+        "source_object_name", "stored", (F.col("payload_hash") == late).alias("is_late_payload")
+    )
+
+
+def append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW rows after a first batch, the same batch again, and a batch that overlaps it."""
+    documents = made_documents.generation_documents(_events(spark, sf_dir))
+    root = _folder(spark, "append")
+    for rows, batch in ((_half(documents, 0), "b1"), (_half(documents, 0), "b1"),
+                        (documents, "b2")):
+        ingest.ingest(spark, rows, schemas.GENERATION, root, batch)
+    return comparable(tables.read_raw(spark, root, schemas.GENERATION))
+
+
+def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger of a batch of partly damaged documents, and of the whole set after it."""
+    documents = made_documents.damaged_price_documents(_events(spark, sf_dir))
+    root = _folder(spark, "ledger")
+    ingest.ingest(spark, _half(documents, 0), schemas.PRICES, root, "b1")
+    return ingest.ingest(spark, documents, schemas.PRICES, root, "b2").select(
+        "load_id", "dataset", "bidding_zone", "source_object_name", "stored", "status",
+        "row_count",
+    )
+
+
+def streamed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW load rows after a stream over a landing table that grew between two runs."""
+    documents = made_documents.load_documents(_events(spark, sf_dir))
+    landing, root, state = (_folder(spark, n) for n in ("arrivals", "stream", "state"))
+    columns = ["source_object_name", "content", "arrived_at"]
+    for number in (0, 1):
+        _half(documents, number).select(*columns).write.mode("append").parquet(landing)
+        arrivals = spark.readStream.schema(documents.select(*columns).schema).parquet(landing)
+        stream.ingest_stream(arrivals, schemas.LOAD, root, state).awaitTermination()
+    return comparable(tables.read_raw(spark, root, schemas.LOAD))
+
+
+def _stored_raw(spark: SparkSession, ev: DataFrame, label: str) -> str:
+    root = _folder(spark, label)
+    for dataset, rows in (
+        (schemas.LOAD, bridge.raw_load(ev)),
+        (schemas.GENERATION, bridge.raw_generation(ev)),
+        (schemas.PRICES, bridge.raw_prices(ev)),
+    ):
+        sinks.write_batch(rows, root, dataset.name, "all", dataset.layout)
+    return root
+
+
+def partitioned_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily load read back from the stored table for a range of days."""
+    ev = _events(spark, sf_dir)
+    raw_root = _stored_raw(spark, ev, "raw")
+    root = _folder(spark, "marts")
+    raw = tables.read_raw(spark, raw_root, schemas.LOAD)
+    built = marts.build_chain(spark, raw, marts.CHAINS[0], root)
+    schema = built["agg_daily_load"].schema
+    layout = schemas.MART_LAYOUTS["agg_daily_load"]
+    path = f"{root}/agg_daily_load"
+    return comparable(
+        tables.read_table(spark, path, schema, layout, "2024-01-05", "2024-01-11")
+    )
+
+
+def _refreshed(number: int, table: str) -> Query:
+    """Stored table after the later half of the events came in as a second batch."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ev = _events(spark, sf_dir)
+        raw_root = _stored_raw(spark, _half(ev, 0), "raw")
+        root = _folder(spark, "marts")
+        chain = marts.CHAINS[number]
+        raw = tables.read_raw(spark, raw_root, chain.dataset)
+        built = marts.build_chain(spark, raw, chain, root)
+        shape = {
+            "actual_load": bridge.raw_load,
+            "actual_generation": bridge.raw_generation,
+            "day_ahead_prices": bridge.raw_prices,
+        }[chain.dataset.name]
+        changed = shape(_half(ev, 1))
+        sinks.write_batch(changed, raw_root, chain.dataset.name, "late", chain.dataset.layout)
+        marts.refresh_chain(spark, raw_root, chain, root, changed)
+        return comparable(
+            tables.read_table(
+                spark, f"{root}/{table}", built[table].schema, schemas.MART_LAYOUTS[table]
+            )
+        )
+
+    return query
+
+
+def publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publication log after a clean run and a run whose checks fail."""
+    ev = _events(spark, sf_dir)
+    # One zone column, one resolution and one document per series pass every check.
+    clean = (
+        bridge.raw_generation(ev, F.lit("PT60M"))
+        .withColumn("_zone", F.coalesce("in_bidding_zone", "out_bidding_zone", F.lit("Z0")))
+        .withColumns({"in_bidding_zone": F.col("_zone"),
+                      "out_bidding_zone": F.lit(None).cast("string")})
+        .drop("_zone")
+    )
+    prices = bridge.raw_prices(ev).withColumn("document_mrid", F.col("time_series_mrid"))
+    raw_root, root = _folder(spark, "raw"), _folder(spark, "published")
+    for dataset, rows in ((schemas.LOAD, bridge.raw_load(ev)), (schemas.GENERATION, clean),
+                          (schemas.PRICES, prices)):
+        sinks.write_batch(rows, raw_root, dataset.name, "b1", dataset.layout)
+    marts.build_and_publish(spark, raw_root, root, "r1")
+    sinks.write_batch(
+        bridge.raw_generation(ev), raw_root, "actual_generation", "b2", schemas.GENERATION.layout
+    )
+    marts.build_and_publish(spark, raw_root, root, "r2")
+    log = marts.publication_log(spark, root)
+    current = F.lit(marts.published_folder(spark, root))
+    rows = marts.read_published(spark, root, "fct_generation_by_type").count()
+    return log.select(
+        "run", "passed", (F.col("folder") == current).alias("is_current"),
+        F.lit(rows).cast("bigint").alias("published_generation_rows"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "prj1_stg_load": _load("stg_actual_load"),
     "prj2_stg_generation": _generation("stg_actual_generation"),
@@ -276,4 +418,16 @@ QUERIES: dict[str, Query] = {
     "src5_zones": zone_lookup,
     "src6_manifest": manifest_rows,
     "src8_interval_validation": interval_problems,
+    "snk1_landing_rerun": landing_rerun,
+    "snk2_append_rerun": append_rerun,
+    "snk7_partitioned_mart": partitioned_mart,
+    "snk8_ledger": ledger_rows,
+    "incremental_load_facts": _refreshed(0, "fct_actual_load"),
+    "incremental_daily_load": _refreshed(0, "agg_daily_load"),
+    "incremental_generation_facts": _refreshed(1, "fct_generation_by_type"),
+    "incremental_daily_generation": _refreshed(1, "agg_daily_generation_by_type"),
+    "incremental_price_facts": _refreshed(2, "fct_day_ahead_prices"),
+    "incremental_daily_price": _refreshed(2, "agg_daily_day_ahead_prices"),
+    "publish_gate": publish_gate,
+    "str1_stream_load": streamed_points,
 }

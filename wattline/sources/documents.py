@@ -144,6 +144,18 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return name_objects(files, path)
 
 
+def stream_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The same rows as a stream that delivers every file once."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.xml")
+        .load(path)
+    )
+    return name_objects(files, path)
+
+
 def name_objects(files: DataFrame, path: str) -> DataFrame:
     root = path.split("://")[-1].removeprefix("file:").strip("/") + "/"
     return files.select(
@@ -333,6 +345,13 @@ def flatten(parsed: DataFrame, spec: DocumentSpec) -> DataFrame:
     return stamped.select(*spec.dataset.schema.fieldNames())
 
 
+def reject_empty(parsed: DataFrame) -> DataFrame:
+    """Rejects documents without a single point, as a load of them would be empty."""
+    empty = (F.size("errors") == 0) & (F.col("point_count") == 0)
+    reason = F.array(F.lit("document: no points"))
+    return parsed.withColumn("errors", F.when(empty, reason).otherwise(F.col("errors")))
+
+
 def rejected(parsed: DataFrame) -> DataFrame:
     """Documents with at least one error, and why."""
     return parsed.filter(F.size("errors") > 0).select("source_object_name", "errors")

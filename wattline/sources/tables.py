@@ -18,10 +18,11 @@ def read_table(
     layout: schemas.Layout,
     first_day: date | str | None = None,
     last_day: date | str | None = None,
+    with_day: bool = False,
 ) -> DataFrame:
     """A stored table, optionally limited to days ``first_day``..``last_day``.
 
-    The bound is put on the day column of the layout, so whole directories are skipped; a
+    ``with_day`` keeps the day column of the folders. The bound is put on the day column of the layout, so whole directories are skipped; a
     bound on a timestamp column would still open every file.
     """
     day = layout.day_column
@@ -31,7 +32,7 @@ def read_table(
         df = df.filter(F.col(day) >= F.lit(first_day).cast("date"))
     if last_day is not None:
         df = df.filter(F.col(day) <= F.lit(last_day).cast("date"))
-    return df.select(*schema.fieldNames())
+    return df.select(*schema.fieldNames(), *([day] if with_day and extra else []))
 
 
 def read_raw(
