@@ -18,16 +18,6 @@ _OFFSET_TIMESTAMP = (
 WHITESPACE = " \t\r\n\f\x0b"
 
 
-def first_trimmed(values: Column) -> Column:
-    """Trimmed text of the first of several same-named elements; repeats are ignored."""
-    return F.btrim(F.get(values, F.lit(0)), F.lit(WHITESPACE))
-
-
-def first_text(values: Column) -> Column:
-    """As ``first_trimmed``, with empty text counting as absent."""
-    return F.nullif(first_trimmed(values), F.lit(""))
-
-
 def integer(text: Column) -> Column:
     return text.try_cast("bigint")
 

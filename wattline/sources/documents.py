@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,45 +178,31 @@ def decoded(content: Column) -> Column:
     )
 
 
+def _first(values: Column) -> Column:
+    """First of several same-named elements; later repeats are ignored.
+
+    The XML reader has already trimmed the text and turned empty text into null.
+    """
+    return F.get(values, F.lit(0))
+
+
 def _value(field: Field, element: Column) -> Column:
     outer, _, inner = field.path.partition("/")
-    node = element[outer]
-    if inner:
-        node = F.get(node, F.lit(0))[inner]
-    # Typed readers turn empty text into null themselves.
-    return field.read(text.first_trimmed(node)) if field.read else text.first_text(node)
+    raw = _first(_first(element[outer])[inner]) if inner else _first(element[outer])
+    return field.read(raw) if field.read else raw
 
 
 def _typed(fields: tuple[Field, ...], element: Column) -> list[Column]:
     columns = [_value(f, element).alias(f.column) for f in fields]
     # An optional value that is present but unreadable must still reject the document.
     columns += [
-        text.first_text(element[f.path]).isNotNull().alias(f"has_{f.column}")
+        _first(element[f.path]).isNotNull().alias(f"has_{f.column}")
         for f in fields
         if f.read and not f.required
     ]
     return columns
 
 
-def _problem(field: Field, holder: Callable[[str], Column]) -> Column:
-    value = holder(field.column)
-    if field.required:
-        bad = value.isNull()
-    elif field.read:
-        bad = holder(f"has_{field.column}") & value.isNull()
-    else:
-        return F.lit(False)
-    return bad if field.minimum is None else bad | F.coalesce(value < field.minimum, F.lit(False))
-
-
-def _problems(level: str, fields: tuple[Field, ...], holder: Callable[[str], Column]) -> list:
-    checked = [f for f in fields if f.required or f.read]
-    return [
-        F.when(_problem(f, holder), F.lit(f"{level}{f.path}: missing or invalid"))
-        for f in checked
-    ]
-
-
 def _children(array: Column) -> Column:
     return F.coalesce(array, F.array())
 
@@ -224,11 +212,11 @@ def _typed_series(spec: DocumentSpec, document: Column) -> Column:
         return F.struct(*_typed(spec.point, p))
 
     def period(p: Column) -> Column:
-        interval = F.get(F.coalesce(*[p[name] for name in spec.intervals]), F.lit(0))
-        resolution = text.first_trimmed(p["resolution"])
+        interval = _first(F.coalesce(*[p[name] for name in spec.intervals]))
+        resolution = _first(p["resolution"])
         return F.struct(
-            text.offset_timestamp(text.first_trimmed(interval["start"])).alias("period_start"),
-            text.offset_timestamp(text.first_trimmed(interval["end"])).alias("period_end"),
+            text.offset_timestamp(_first(interval["start"])).alias("period_start"),
+            text.offset_timestamp(_first(interval["end"])).alias("period_end"),
             resolution.alias("resolution"),
             text.duration_seconds(resolution).alias("resolution_seconds"),
             F.transform(_children(p["Point"]), point).alias("points"),
@@ -243,33 +231,64 @@ def _typed_series(spec: DocumentSpec, document: Column) -> Column:
     return F.transform(_children(document["TimeSeries"]), series)
 
 
+def _bad(field: Field, holder: Callable[[str], Column]) -> Column:
+    """Whether a value is missing, unreadable or too small. Never null."""
+    value = holder(field.column)
+    bad = value.isNull()
+    if not field.required:
+        bad = holder(f"has_{field.column}") & bad if field.read else F.lit(False)
+    return bad if field.minimum is None else bad | F.coalesce(value < field.minimum, F.lit(False))
+
+
+def _checks(level: str, fields: tuple[Field, ...], holder: Callable[[str], Column]) -> dict:
+    return {f"{level}{f.path}": _bad(f, holder) for f in fields if f.required or f.read}
+
+
+def _period_checks(spec: DocumentSpec, p: Column) -> dict[str, Column]:
+    seconds = p["resolution_seconds"]
+
+    def any_point(field: Field) -> Column:
+        return F.exists(p["points"], lambda point: _bad(field, lambda name: point[name]))
+
+    return {
+        "Period.start": p["period_start"].isNull(),
+        "Period.end": p["period_end"].isNull(),
+        "Period.resolution": seconds.isNull() | (seconds < 1),
+        **{f"Point.{f.path}": any_point(f) for f in spec.point},
+    }
+
+
+def _messages(found: dict[str, Column]) -> Column:
+    return F.array(*[F.when(c, F.lit(f"{n}: missing or invalid")) for n, c in found.items()])
+
+
 def _errors(spec: DocumentSpec) -> Column:
-    def period_errors(p: Column) -> Column:
-        def bad_point(field: Field) -> Column:
-            return F.exists(p["points"], lambda x: _problem(field, lambda name: x[name]))
-
-        return F.array(
-            F.when(p["period_start"].isNull(), F.lit("Period.start: missing or invalid")),
-            F.when(p["period_end"].isNull(), F.lit("Period.end: missing or invalid")),
-            F.when(
-                F.coalesce(p["resolution_seconds"], F.lit(0)) < 1,
-                F.lit("Period.resolution: missing or invalid"),
-            ),
-            *[
-                F.when(bad_point(f), F.lit(f"Point.{f.path}: missing or invalid"))
-                for f in spec.point
-            ],
-        )
+    """Distinct errors of a document. The list is only built where something is wrong."""
+    header = _checks("", spec.header, F.col)
+
+    def of_series(s: Column) -> dict[str, Column]:
+        return _checks("TimeSeries.", spec.series, lambda name: s[name])
+
+    def period_is_bad(p: Column) -> Column:
+        return reduce(or_, _period_checks(spec, p).values())
 
-    def series_errors(s: Column) -> Column:
-        own = F.array(*_problems("TimeSeries.", spec.series, lambda name: s[name]))
-        return F.concat(own, F.flatten(F.transform(s["periods"], period_errors)))
+    def series_is_bad(s: Column) -> Column:
+        return reduce(or_, of_series(s).values()) | F.exists(s["periods"], period_is_bad)
 
-    header = F.array(*_problems("", spec.header, F.col))
-    every = F.concat(header, F.flatten(F.transform(F.col("series"), series_errors)))
-    return F.when(
-        F.col("malformed"), F.array(F.lit("document: not well-formed XML"))
-    ).otherwise(F.array_distinct(F.filter(every, lambda e: e.isNotNull())))
+    def series_messages(s: Column) -> Column:
+        inner = F.transform(s["periods"], lambda p: _messages(_period_checks(spec, p)))
+        return F.concat(_messages(of_series(s)), F.flatten(inner))
+
+    series = F.col("series")
+    every = F.concat(_messages(header), F.flatten(F.transform(series, series_messages)))
+    return (
+        F.when(F.col("malformed"), F.array(F.lit("document: not well-formed XML")))
+        .when(
+            reduce(or_, header.values()) | F.exists(series, series_is_bad),
+            F.array_distinct(F.filter(every, lambda e: e.isNotNull())),
+        )
+        .otherwise(F.array().cast("array<string>"))
+    )
 
 
 def _single_root(xml: Column) -> Column:
@@ -295,7 +314,12 @@ def parse(documents: DataFrame, spec: DocumentSpec) -> DataFrame:
     """
     content = F.col("content")
     is_binary = dict(documents.dtypes)["content"] == "binary"
-    options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": _CORRUPT}
+    options = {
+        "ignoreNamespace": "true",
+        "ignoreSurroundingSpaces": "true",
+        "nullValue": "",
+        "columnNameOfCorruptRecord": _CORRUPT,
+    }
     read = documents.select(
         "source_object_name", (decoded(content) if is_binary else content).alias("xml")
     ).select(
