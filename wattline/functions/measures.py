@@ -37,13 +37,18 @@ def numeric_average(value: Column) -> Column:
     return F.avg(value).cast("decimal(38,9)")
 
 
+def merged_average(total: Column, count: Column) -> Column:
+    """Average from a decimal sum and a count, rounded like ``numeric_average``."""
+    return F.try_divide(total, count.cast("decimal(20,0)")).cast("decimal(38,9)")
+
+
 def interval_hours(minutes: Column) -> Column:
     return minutes.cast("double") / F.lit(60.0)
 
 
-def energy_mwh(power: Column, minutes: Column) -> Column:
-    """Aggregate: power times hours, for groups that share one interval length."""
-    return F.sum(power).cast("double") * minutes / F.lit(60.0)
+def energy_mwh(power_sum: Column, minutes: Column) -> Column:
+    """Power times hours, for a sum over intervals of one length."""
+    return power_sum.cast("double") * minutes / F.lit(60.0)
 
 
 def earliest_peak(instant: Column, value: Column) -> Column:
