@@ -1,12 +1,15 @@
+import random
 from datetime import date, datetime, timedelta
 
 import frames as f
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wattline.operators import checks, projections, versions
 from wattline.plans import models, quality
-from wattline.schemas import PRICE_DUPLICATE_KEYS, PRICE_PAYLOAD, REQUIRED_COLUMNS
+from wattline.schemas import LOAD, PRICE_DUPLICATE_KEYS, PRICE_PAYLOAD, REQUIRED_COLUMNS
 
 
 def branch_load(spark, rows, **common):
@@ -294,3 +297,46 @@ def test_canonical_checks_reuse_the_shuffle_of_the_version_pick(spark):
     report = quality.model_report("int_actual_load_canonical", canonical)
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_zone_filters_reach_the_scan(spark, tmp_path):
+    raw = f.load(spark, [{"out_bidding_zone": z} for z in "ABC"])
+    raw.write.parquet(str(tmp_path / "raw"))
+    stored = spark.read.schema(LOAD.schema).parquet(str(tmp_path / "raw"))
+    facts = models.load_branch(stored)["fct_actual_load"].filter("bidding_zone = 'B'")
+    assert facts.count() == 1
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(out_bidding_zone), EqualTo(out_bidding_zone,B)]" in plan
+    # Columns that neither the facts nor the version order need are not read.
+    read = plan[plan.index("ReadSchema"):]
+    assert not any(c in read for c in ("curve_type", "business_type", "object_aggregation"))
+
+
+@settings(max_examples=5, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10**6))
+def test_version_pick_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = [
+        {"out_bidding_zone": rng.choice("AB"), "at": rng.randrange(3),
+         "revision_number": rng.randrange(3),
+         "document_created_at": f.DAY + timedelta(hours=rng.randrange(2)),
+         "source_object_name": rng.choice(["o1", "o10", "o2"]),
+         "document_mrid": rng.choice("de"), "time_series_mrid": rng.choice("st"),
+         "quantity": rng.randrange(5)}
+        for _ in range(120)
+    ]
+    order = ("revision_number", "document_created_at", "source_object_name", "document_mrid",
+             "time_series_mrid", "quantity")
+    best = {}
+    for row in rows:
+        key, rank = (row["out_bidding_zone"], row["at"]), tuple(row[c] for c in order)
+        best[key] = max(best.get(key, rank), rank)
+    got = f.naive(branch_load(spark, rows)["int_actual_load_canonical"]).collect()
+    found = {
+        (r.bidding_zone, (r.point_timestamp - f.DAY).seconds // 3600): (
+            r.revision_number, r.document_created_at, r.source_object_name, r.document_id,
+            r.time_series_id, int(r.load_quantity))
+        for r in got
+    }
+    assert found == best

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from verification import made_documents
 from wattline import schemas
+from wattline.functions import measures, text
 from wattline.operators import checks, projections, versions
 from wattline.plans import ingest, marts, models, quality
 from wattline.session import configure, work_folder
@@ -84,6 +85,25 @@ def price_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(models.canonical_prices_one_shuffle(staged))
 
 
+def _hot(raw: DataFrame) -> DataFrame:
+    """A third of all rows put on one zone and point in time."""
+    hot = F.col("revision_number") == 1
+    at = F.lit("2024-01-15 12:00:00").cast("timestamp")
+    return raw.withColumns({
+        "out_bidding_zone": F.when(hot, "Z0").otherwise(F.col("out_bidding_zone")),
+        "point_timestamp": F.when(hot, at).otherwise(F.col("point_timestamp")),
+        "resolution": F.lit("PT60M"),
+    })
+
+
+def hot_key(model: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = _hot(bridge.raw_load(_events(spark, sf_dir)))
+        return comparable(models.load_branch(raw)[model])
+
+    return query
+
+
 def lineitem_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The version operator over a table that repeats its keys."""
     schema = (
@@ -355,6 +375,64 @@ def publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW prices read back from the stored table for a range of days."""
+    root = _stored_raw(spark, _events(spark, sf_dir), "raw")
+    return comparable(
+        tables.read_raw(spark, root, schemas.PRICES, "2024-01-10", "2024-01-12")
+    )
+
+
+def views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the session views of the models."""
+    ev = _events(spark, sf_dir)
+    models.create_views(models.load_branch(bridge.raw_load(ev)))
+    return comparable(spark.sql(
+        "select bidding_zone, count(*) as days, sum(observed_interval_count) as points, "
+        "sum(observed_energy_mwh) as energy_mwh, min(coverage_ratio) as lowest_coverage "
+        "from agg_daily_load group by bidding_zone"
+    ))
+
+
+def empty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger of documents of which every third has lost its points."""
+    documents_ = made_documents.load_documents(_events(spark, sf_dir))
+    body = F.col("content").cast("string")
+    bare = F.regexp_replace(body, "<Point>.*?</Point>", "").cast("binary")
+    content = F.when(F.col("event_id") % 3 == 0, bare).otherwise(F.col("content"))
+    root = _folder(spark, "empty")
+    ingest.ingest(
+        spark, documents_.withColumn("content", content), schemas.LOAD, root, "b1"
+    )
+    reasons = ingest.quarantined(spark, root).select(
+        "source_object_name", F.element_at("errors", 1).alias("reason")
+    )
+    rows = ingest.ledger(spark, root).select("source_object_name", "status", "row_count")
+    return rows.join(reasons, "source_object_name", "left")
+
+
+def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two readings of a duration: any ``PTnHnMnS``, and interval lengths of the KPIs."""
+    n = (F.col("event_id") % 90).cast("string")
+    kind = F.col("event_id") % 6
+    written = (
+        F.when(kind == 0, F.concat(F.lit("PT"), n, F.lit("M")))
+        .when(kind == 1, F.concat(F.lit("PT"), n, F.lit("H")))
+        .when(kind == 2, F.concat(F.lit("PT"), n, F.lit("H30M")))
+        .when(kind == 3, F.concat(F.lit("PT"), n, F.lit("S")))
+        .when(kind == 4, F.concat(F.lit("P"), n, F.lit("D")))
+        .otherwise(F.concat(F.lit("PT1H"), n, F.lit("M5S")))
+    )
+    rows = _events(spark, sf_dir).select("event_id", written.alias("duration"))
+    minutes = measures.interval_minutes(F.col("duration"))
+    return rows.select(
+        "event_id", "duration",
+        text.duration_seconds(F.col("duration")).alias("seconds"),
+        minutes.alias("interval_minutes"),
+        measures.rounded_ratio(F.lit(measures.MINUTES_PER_DAY), minutes).alias("per_day"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "prj1_stg_load": _load("stg_actual_load"),
     "prj2_stg_generation": _generation("stg_actual_generation"),
@@ -366,6 +444,8 @@ QUERIES: dict[str, Query] = {
     "win4_price_canonical": _price("int_day_ahead_prices_canonical"),
     "win4_price_canonical_one_shuffle": price_one_shuffle,
     "win_latest_lineitem": lineitem_latest,
+    "win1_hot_key": hot_key("int_actual_load_canonical"),
+    "agg1_hot_key": hot_key("agg_daily_load"),
     "prj5_fct_load": _load("fct_actual_load"),
     "prj6_fct_generation": _generation("fct_generation_by_type"),
     "prj7_fct_price": _price("fct_day_ahead_prices"),
@@ -415,11 +495,14 @@ QUERIES: dict[str, Query] = {
     "src3_price_xml": _points(made_documents.price_documents, documents.PRICES),
     "src3_quarantine": quarantine,
     "src3_accepted_points": accepted_points,
+    "src4_raw_scan": raw_scan,
     "src5_zones": zone_lookup,
     "src6_manifest": manifest_rows,
     "src8_interval_validation": interval_problems,
     "snk1_landing_rerun": landing_rerun,
     "snk2_append_rerun": append_rerun,
+    "snk3_empty_documents": empty_documents,
+    "snk5_views": views,
     "snk7_partitioned_mart": partitioned_mart,
     "snk8_ledger": ledger_rows,
     "incremental_load_facts": _refreshed(0, "fct_actual_load"),
@@ -429,5 +512,6 @@ QUERIES: dict[str, Query] = {
     "incremental_price_facts": _refreshed(2, "fct_day_ahead_prices"),
     "incremental_daily_price": _refreshed(2, "agg_daily_day_ahead_prices"),
     "publish_gate": publish_gate,
+    "fn_durations": durations,
     "str1_stream_load": streamed_points,
 }

@@ -127,26 +127,36 @@ def invalid_price_day() -> Column:
 
 
 def count_checks(
-    df: DataFrame, row_checks: Sequence[RowCheck], unique: tuple[str, Sequence[str]] | None = None
+    df: DataFrame,
+    row_checks: Sequence[RowCheck],
+    unique: tuple[str, Sequence[str]] | None = None,
+    clustered: bool = True,
 ) -> DataFrame:
     """``(check, violations)`` for all checks of one table.
 
-    Row checks alone are one aggregation without a shuffle of rows. With a uniqueness
-    check ``(name, grain)`` the row counts are taken per grain first: a table already
-    clustered by its grain is not shuffled again, and any other one is aggregated on the
-    map side before it is.
+    Row checks are one aggregation that shuffles no rows. A uniqueness check
+    ``(name, grain)`` has to count per grain. ``clustered`` says that ``df`` already ends
+    in a step that groups by the grain: then both are counted in the same pass and nothing
+    is shuffled for it. Otherwise, as for a table read from storage, they are two passes,
+    so that only the grain columns are shuffled.
     """
     counts = [F.count_if(c.predicate).alias(f"c{i}") for i, c in enumerate(row_checks)]
     names = [c.name for c in row_checks]
     if unique is None:
-        totals = df.agg(*counts)
-    else:
-        names.append(unique[0])
-        per_key = df.groupBy(*unique[1]).agg(*counts, F.count("*").alias("rows"))
-        totals = per_key.agg(
-            *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(counts))],
-            F.count_if(F.col("rows") > 1).alias(f"c{len(counts)}"),
-        )
+        return _long(df.agg(*counts), names)
+    name, grain = unique
+    if not clustered:
+        repeated = duplicated_keys(df, grain).agg(F.count("*").alias("c0"))
+        return _long(df.agg(*counts), names).unionByName(_long(repeated, [name]))
+    per_key = df.groupBy(*grain).agg(*counts, F.count("*").alias("rows"))
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(counts))],
+        F.count_if(F.col("rows") > 1).alias(f"c{len(counts)}"),
+    )
+    return _long(totals, [*names, name])
+
+
+def _long(totals: DataFrame, names: Sequence[str]) -> DataFrame:
     pairs = [
         F.struct(F.lit(n).alias("check"), F.col(f"c{i}").alias("violations"))
         for i, n in enumerate(names)

@@ -150,7 +150,8 @@ def build_and_publish(spark: SparkSession, raw_root: str, root: str, run: str) -
     """
     folder = f"{root.rstrip('/')}/runs/{run}"
     built = build_all(spark, raw_root, folder)
-    quality.quality_report(built).write.mode("overwrite").parquet(f"{folder}/report")
+    report = quality.quality_report(built, stored=schemas.MART_LAYOUTS)
+    report.write.mode("overwrite").parquet(f"{folder}/report")
     passed = quality.passes(spark.read.schema(REPORT_DDL).parquet(f"{folder}/report"))
     entry = spark.range(1).select(
         F.lit(run).alias("run"),
