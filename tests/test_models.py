@@ -204,6 +204,16 @@ def test_delivery_days_mix_resolutions_by_the_shortest(spark):
     assert day.negative_price_interval_count == 3
 
 
+def test_negative_hours_of_unknown_intervals(spark):
+    def hours(*prices):
+        rows = [{"at": h, "price_amount": p} for h, p in enumerate(prices)]
+        branch = branch_prices(spark, rows, resolution="PT90S")
+        return one(branch["agg_daily_day_ahead_prices"]).negative_price_duration_hours
+
+    assert hours(-1, -2) is None
+    assert hours(-1, 2) == hours(1, 2) == hours(None, -1) == 0.0
+
+
 def daily(spark, **changed):
     base = branch_load(spark, [{"at": h} for h in range(24)])["agg_daily_load"]
     return base.withColumns({k: F.expr(v) for k, v in changed.items()})

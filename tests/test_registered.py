@@ -23,8 +23,8 @@ def test_every_query_has_sql():
 def test_query_equals_sql(spark, con, sf_dir, name):
     rows, text = difference(spark, con, QUERIES[name], ORACLE[name], sf_dir)
     assert not text
-    # The stored models are unique by construction; every other query has to show rows.
-    assert rows > 0 or name.endswith("_unique")
+    # Stored models are unique by construction, and the smallest tables overfill no day.
+    assert rows > 0 or name.endswith(("_unique", "_validity"))
 
 
 def test_entry(spark):

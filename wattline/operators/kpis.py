@@ -95,7 +95,9 @@ def daily_price_kpis(facts: DataFrame) -> DataFrame:
         .withColumn("interval_minutes", m.interval_minutes(F.col("resolution")))
     )
     length = F.timestamp_diff("MINUTE", F.min("period_start"), F.max("period_end"))
-    negative_minutes = F.sum(F.when(count > 0, count * minutes).otherwise(0))
+    # Every row counts: a negative one its interval, which may be unknown, any other one zero.
+    others = F.when(F.col("_rows") > count, F.lit(0).cast("bigint"))
+    negative_minutes = F.sum(F.coalesce(count * minutes, others))
     daily = summed.groupBy(*day).agg(
         F.min("period_start").alias("period_start"),
         F.max("period_end").alias("period_end"),
