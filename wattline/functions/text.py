@@ -63,6 +63,7 @@ def load_id(dataset: str | Column, object_name: Column) -> Column:
 
 def object_name(dataset: str | Column, zone: Column, start: Column, end: Column) -> Column:
     """Landing name of one dataset, zone and UTC interval, dated by the interval start."""
+    # The parts of a name and their formats.
     name = F.lit(dataset) if isinstance(dataset, str) else dataset
     stamp = "yyyyMMdd'T'HHmm'Z'"
     return F.concat(

@@ -19,6 +19,7 @@ def _struct(*fields: tuple) -> T.StructType:
     return T.StructType([T.StructField(name, kind, nullable) for name, kind, nullable in fields])
 
 
+# Columns of the RAW tables, in order, and whether they may be null.
 _DOCUMENT = (
     ("source_object_name", _STR, False),
     ("document_mrid", _STR, False),

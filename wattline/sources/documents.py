@@ -44,6 +44,7 @@ class DocumentSpec:
     intervals: tuple[str, ...] = ("timeInterval",)
 
 
+# Element names of the three document types and the columns they become.
 _HEADER = (
     Field("mRID", "document_mrid"),
     Field("type", "document_type"),
