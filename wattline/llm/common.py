@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline.session import work_folder
 
@@ -40,3 +44,19 @@ def n_words(text: Column) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
+
+
+def extended(schema: T.StructType, ddl: str) -> T.StructType:
+    """A schema with further fields."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
+def workers(spark: SparkSession, rows: int = 1000) -> None:
+    """Lets Python workers find this package, and bounds the rows of an Arrow batch."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)

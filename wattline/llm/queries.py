@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from wattline.llm import mixing, url_filters
+from wattline.llm import bpe, mixing, token_counts, url_filters
 
 QUERIES = {
     "op3_url_filters": url_filters.op3_url_filters,
+    "op7_bpe": bpe.op7_bpe,
+    "op8_token_counts": token_counts.op8_token_counts,
     "op9_mixing": mixing.op9_mixing,
 }
 

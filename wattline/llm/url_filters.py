@@ -33,7 +33,6 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-RULE_SCHEMA = "verdict string, host string, path string"
 
 
 def host_of(url: Column) -> Column:
@@ -145,7 +144,10 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
 
 def op3_url_filters(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    rules = spark.createDataFrame(RULES, RULE_SCHEMA)
+    names = ("verdict", "host", "path")
+    rules = spark.range(1).select(F.inline(F.array(*(
+        F.struct(*(F.lit(value).alias(name) for name, value in zip(names, rule))) for rule in RULES
+    ))))
     return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
