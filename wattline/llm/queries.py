@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from wattline.llm import bpe, mixing, token_counts, url_filters
+from wattline.llm import bpe, mixing, quality, token_counts, url_filters, warc
 
 QUERIES = {
+    "op2_quality": quality.op2_quality,
     "op3_url_filters": url_filters.op3_url_filters,
+    "op5_warc": warc.op5_warc,
     "op7_bpe": bpe.op7_bpe,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_mixing": mixing.op9_mixing,
@@ -13,4 +15,5 @@ QUERIES = {
 
 ORACLE = {
     "op3_url_filters": url_filters.OP3_SQL,
+    "op5_warc": warc.OP5_SQL,
 }
