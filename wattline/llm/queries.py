@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from wattline.llm import bpe, mixing, quality, token_counts, url_filters, warc
+from wattline.llm import bpe, mixing, near_vectors, quality, token_counts, topk, url_filters, warc
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
     "op3_url_filters": url_filters.op3_url_filters,
     "op5_warc": warc.op5_warc,
+    "op6_topk": topk.op6_topk,
     "op7_bpe": bpe.op7_bpe,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_mixing": mixing.op9_mixing,
+    "op10_near_vectors": near_vectors.op10_near_vectors,
 }
 
 ORACLE = {
     "op3_url_filters": url_filters.OP3_SQL,
     "op5_warc": warc.OP5_SQL,
+    "op6_topk": topk.OP6_SQL,
 }
