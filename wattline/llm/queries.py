@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from wattline.llm import bpe, mixing, near_vectors, quality, token_counts, topk, url_filters, warc
+from wattline.llm import bpe, mixing, near_vectors, ngram_join, quality, token_counts, topk, url_filters, warc
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
     "op3_url_filters": url_filters.op3_url_filters,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_warc": warc.op5_warc,
     "op6_topk": topk.op6_topk,
     "op7_bpe": bpe.op7_bpe,
