@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wattline.llm import bpe, mixing, near_vectors, ngram_join, quality, token_counts, topk, url_filters, warc
+from wattline.llm import bpe, mixing, near_vectors, ngram_join, quality, sharding, token_counts, topk, url_filters, warc
 
 QUERIES = {
+    "op1_sharding": sharding.op1_sharding,
     "op2_quality": quality.op2_quality,
     "op3_url_filters": url_filters.op3_url_filters,
     "op4_ngram_join": ngram_join.op4_ngram_join,
