@@ -1,6 +1,7 @@
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
 import xml_samples as x
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def errors(spark, spec, *texts):
 
 
 def utc(*parts):
-    return datetime(2026, *parts)
+    return datetime(2025, *parts)
 
 
 def naive(spark, df):
@@ -44,17 +45,17 @@ def test_load_points_and_gap(spark):
     first, second = rows.collect()
     assert rows.columns == d.LOAD.dataset.schema.fieldNames()
     assert first.asDict() == {
-        "source_object_name": "o0", "document_mrid": "document-load-1", "document_type": "A65",
-        "revision_number": 1, "document_created_at": utc(8, 22, 8, 27, 52),
-        "process_type": "A16", "time_series_mrid": "series-load-1", "business_type": "A04",
+        "source_object_name": "o0", "document_mrid": "L-77", "document_type": "A65",
+        "revision_number": 1, "document_created_at": utc(3, 12, 14, 5, 9),
+        "process_type": "A16", "time_series_mrid": "ts-7a", "business_type": "A04",
         "object_aggregation": "A01", "out_bidding_zone": x.ZONE, "quantity_unit": "MAW",
-        "curve_type": "A03", "period_start": utc(8, 20), "period_end": utc(8, 20, 1),
-        "resolution": "PT15M", "position": 1, "point_timestamp": utc(8, 20),
-        "quantity": Decimal("38821.260000000"),
+        "curve_type": "A03", "period_start": utc(3, 10), "period_end": utc(3, 10, 1),
+        "resolution": "PT15M", "position": 1, "point_timestamp": utc(3, 10),
+        "quantity": Decimal("412.750000000"),
     }
     # Position 2 is missing; position 3 keeps its own time.
-    assert (second.position, second.point_timestamp) == (3, utc(8, 20, 0, 30))
-    assert second.quantity == Decimal("39000.5")
+    assert (second.position, second.point_timestamp) == (3, utc(3, 10, 0, 30))
+    assert second.quantity == Decimal("398.2")
 
 
 def test_generation_keeps_direction(spark):
@@ -62,9 +63,9 @@ def test_generation_keeps_direction(spark):
     got = [(r.time_series_mrid, r.position, r.in_bidding_zone, r.out_bidding_zone,
             r.psr_type, str(r.quantity.normalize())) for r in rows]
     assert got == [
-        ("series-generation-in", 1, x.ZONE, None, "B10", "174.62"),
-        ("series-generation-out", 1, None, x.ZONE, "B10", "206.63"),
-        ("series-generation-out", 3, None, x.ZONE, "B10", "169.74"),
+        ("ts-drawn", 1, x.ZONE, None, "B10", "7.15"),
+        ("ts-fed", 1, None, x.ZONE, "B10", "51.35"),
+        ("ts-fed", 3, None, x.ZONE, "B10", "48.9"),
     ]
 
 
@@ -77,12 +78,12 @@ def test_prices_with_either_interval_element(spark):
     got = [(r.time_series_mrid, r.classification_sequence_position, r.position,
             r.point_timestamp, float(r.price_amount)) for r in rows]
     assert got == [
-        ("series-price-1", 2, 24, utc(8, 20, 3, 45), 164.96),
-        ("series-price-1", 2, 26, utc(8, 20, 4, 15), 165.40),
-        ("series-price-2", 1, 24, utc(8, 20, 3, 45), 164.96),
-        ("series-price-2", 1, 26, utc(8, 20, 4, 15), 165.40),
+        ("auction-1", 2, 24, utc(3, 10, 3, 45), 88.41),
+        ("auction-1", 2, 26, utc(3, 10, 4, 15), 91.07),
+        ("auction-2", 1, 24, utc(3, 10, 3, 45), 88.41),
+        ("auction-2", 1, 26, utc(3, 10, 4, 15), 91.07),
     ]
-    assert rows[0].period_start == utc(8, 19, 22)
+    assert rows[0].period_start == utc(3, 9, 22)
 
 
 def test_classification_is_optional_but_positive(spark):
@@ -96,24 +97,24 @@ def test_classification_is_optional_but_positive(spark):
 
 
 DEFECTS = [
-    ("<mRID>document-load-1</mRID>", "<mRID> \n </mRID>", "mRID"),
-    ("<mRID>document-load-1</mRID>", "", "mRID"),
+    ("<mRID>L-77</mRID>", "<mRID> \n </mRID>", "mRID"),
+    ("<mRID>L-77</mRID>", "", "mRID"),
     ("<type>A65</type>", "<type/>", "type"),
     ("<revisionNumber>1<", "<revisionNumber>1.5<", "revisionNumber"),
-    ("08:27:52Z", "08:27:52", "createdDateTime"),
+    ("14:05:09Z", "14:05:09", "createdDateTime"),
     ("<process.processType>A16</process.processType>", "", "process.processType"),
-    ("<mRID>series-load-1</mRID>", "", "TimeSeries.mRID"),
+    ("<mRID>ts-7a</mRID>", "", "TimeSeries.mRID"),
     ("<curveType>A03</curveType>", "<curveType> </curveType>", "TimeSeries.curveType"),
-    ("<start>2026-08-20T00:00Z", "<start>2026-08-20T00:00", "Period.start"),
-    ("<end>2026-08-20T01:00Z", "<end>soon", "Period.end"),
+    ("<start>2025-03-10T00:00Z", "<start>2025-03-10T00:00", "Period.start"),
+    ("<end>2025-03-10T01:00Z", "<end>soon", "Period.end"),
     ("PT15M", "P1D", "Period.resolution"),
     ("PT15M", "PT0M", "Period.resolution"),
     ("PT15M", "PT", "Period.resolution"),
     ("<position>3<", "<position>0<", "Point.position"),
     ("<position>3<", "<position>-1<", "Point.position"),
     ("<position>3</position>", "", "Point.position"),
-    ("39000.50", "a lot", "Point.quantity"),
-    ("<quantity>39000.50</quantity>", "", "Point.quantity"),
+    ("398.20", "a lot", "Point.quantity"),
+    ("<quantity>398.20</quantity>", "", "Point.quantity"),
 ]
 
 
@@ -127,6 +128,52 @@ def test_one_bad_element_rejects_the_whole_document_only(spark):
     assert {r.source_object_name for r in points(spark, d.LOAD, *texts)} == {f"o{len(damaged)}"}
 
 
+def test_values_out_of_range_reject_their_document_only(spark):
+    texts = [
+        x.load().replace("<position>3<", "<position>10000000000000<"),
+        x.load().replace("<position>3<", "<position>9223372036854775807<"),
+        x.load().replace("PT15M", "PT9223372036854775807H"),
+        x.load().replace("PT15M", "PT2000000000H"),
+        x.load(),
+    ]
+    instant, resolution = "Point.instant", "Period.resolution"
+    expected = [instant, instant, resolution, instant]
+    assert errors(spark, d.LOAD, *texts) == {
+        f"o{i}": [f"{e}: missing or invalid"] for i, e in enumerate(expected)
+    }
+    assert {r.source_object_name for r in points(spark, d.LOAD, *texts)} == {"o4"}
+
+
+def test_encodings(spark):
+    long = x.load().replace('encoding="UTF-8"', " " * 300 + 'encoding="ISO-8859-1"')
+    texts = [
+        long.replace("A03", "Ä03").encode("latin-1"), x.load().encode("utf-8-sig"),
+        x.load().encode("utf-16"), x.load().replace("UTF-8", "windows-1252").encode(),
+    ]
+    reason = ["document: unsupported encoding"]
+    assert errors(spark, d.LOAD, *texts) == {"o2": reason, "o3": reason}
+    assert {r.curve_type for r in points(spark, d.LOAD, texts[0])} == {"Ä03"}
+
+
+def test_names_come_from_the_place_below_the_root(spark, tmp_path):
+    root = tmp_path / "data"
+    for place in ("one.xml", "x/mydata/one.xml", "data/one.xml"):
+        (root / place).parent.mkdir(parents=True, exist_ok=True)
+        (root / place).write_text(x.load())
+    expected = {"one.xml", "x/mydata/one.xml", "data/one.xml"}
+    for path in (str(root), f"{root}/", f"file:{root}", f"file://{root}/"):
+        rows = d.read_documents(spark, path).collect()
+        assert {r.source_object_name for r in rows} == expected
+    stream = d.stream_documents(spark, f"{root}/").writeStream.format("memory")
+    stream.queryName("names").trigger(availableNow=True).start().awaitTermination()
+    assert {r.source_object_name for r in spark.table("names").collect()} == expected
+    elsewhere = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(root))
+    with pytest.raises(Exception, match="not below"):
+        d.name_objects(elsewhere, str(root / "x")).collect()
+    with pytest.raises(ValueError):
+        d.read_documents(spark, f"{root}/*")
+
+
 def test_not_well_formed(spark):
     good = x.load()
     texts = [
@@ -141,14 +188,14 @@ def test_lenient_forms_are_accepted(spark):
     good = x.load()
     prefixed = good.split("\n")[1].replace("</", "</p:").replace("<", "<p:")
     prefixed = prefixed.replace("<p:/p:", "</p:").replace("xmlns=", "xmlns:p=")
-    repeated = good.replace("<mRID>document-load-1<", "<mRID>first</mRID><mRID>second<")
+    repeated = good.replace("<mRID>L-77<", "<mRID>first</mRID><mRID>second<")
     texts = [
         prefixed,
         good.replace("GL_MarketDocument", "AnyRoot"),
         good + "\n<!-- end -->\n",
         good.replace("</GL_MarketDocument>", "</GL_MarketDocument >"),
-        good.replace("document-load-1", "\n  document-load-1\t"),
-        good.replace("2026-08-20T00:00Z", "2026-08-20T02:00:00.000+02:00"),
+        good.replace("L-77", "\n  L-77\t"),
+        good.replace("2025-03-10T00:00Z", "2025-03-10T02:00:00.000+02:00"),
         good.replace("UTF-8", "ISO-8859-1").replace("A03", "Ä03").encode("latin-1"),
         repeated,
         good.replace("<mRID>series", '<mRID codingScheme="A01">series'),
@@ -161,8 +208,8 @@ def test_lenient_forms_are_accepted(spark):
     assert {r.point_timestamp for r in rows} == {by_name["o0"].point_timestamp}
     assert by_name["o6"].curve_type == "Ä03"
     assert by_name["o7"].document_mrid == "first"
-    assert {r.time_series_mrid for r in rows} == {"series-load-1"}
-    assert by_name["o4"].document_mrid == "document-load-1"
+    assert {r.time_series_mrid for r in rows} == {"ts-7a"}
+    assert by_name["o4"].document_mrid == "L-77"
 
 
 def test_empty_branches_are_validated_but_give_no_rows(spark):
@@ -182,7 +229,7 @@ def test_empty_branches_are_validated_but_give_no_rows(spark):
 
 
 def test_several_series_periods_and_points(spark):
-    day = [x.period(f"2026-08-20T0{h}:00Z", f"2026-08-20T0{h + 1}:00Z", "PT30M",
+    day = [x.period(f"2025-03-10T0{h}:00Z", f"2025-03-10T0{h + 1}:00Z", "PT30M",
                     [(1, h), (2, h + 0.5)]) for h in range(3)]
     text = x.document("D", "A65", "d", [
         x.series("a", x.LOAD_PARTS, *day), x.series("b", x.LOAD_PARTS, day[0])])

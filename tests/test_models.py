@@ -103,21 +103,14 @@ def test_duplicates_keep_the_lowest_series_and_versions_the_highest(spark):
     assert one(branch["int_day_ahead_prices_canonical"]).time_series_id == "s10"
 
 
-def test_one_shuffle_form_gives_the_same_prices(spark):
-    rows = [
-        {"at": i % 7, "source_object_name": f"o{i % 3}", "time_series_mrid": f"s{i % 5}",
-         "classification_sequence_position": [None, 1, 2][i % 3], "price_amount": i}
-        for i in range(60)
-    ]
-    staged = projections.stage_prices(f.prices(spark, rows))
-    two = models.canonical_prices(models.deduplicated_prices(staged))
-    both = models.canonical_prices_one_shuffle(staged)
-    assert both.count() == two.count() and both.exceptAll(two).isEmpty()
-
-    def exchanges(df):
-        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hash")
-
-    assert (exchanges(two), exchanges(both)) == (2, 1)
+def test_rows_that_tie_on_all_else_are_picked_by_their_other_columns(spark):
+    rows = [{"at": 1, "position": p} for p in (2, 5, 3)]
+    frame = f.load(spark, rows)
+    picks = {
+        models.canonical_load(projections.stage_load(df)).first().position
+        for df in (frame, frame.repartition(3), frame.orderBy("position"))
+    }
+    assert picks == {5}
 
 
 def test_unequal_duplicates_see_nulls(spark):

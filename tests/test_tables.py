@@ -42,7 +42,7 @@ def batch(spark, *rows):
 
 
 def payload(value):
-    return x.load().replace("38821.26", str(value))
+    return x.load().replace("412.75", str(value))
 
 
 def values(spark, root):
@@ -125,6 +125,33 @@ def test_a_batch_that_broke_off_is_completed_by_running_it_again(
     assert ing.ledger(spark, root).count() == 2
 
 
+@pytest.mark.parametrize("stage", ["quarantine", "ledger"])
+def test_another_batch_takes_the_objects_of_one_that_broke_off(spark, tmp_path, monkeypatch, stage):
+    root, a, b = str(tmp_path), name("A", 20), name("B", 21)
+    write = sinks.write_batch
+
+    def write_batch(df, folder, table, key, layout):
+        if table == stage:
+            raise ConnectionError("lost")
+        return write(df, folder, table, key, layout)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ing.sinks, "write_batch", write_batch)
+        with pytest.raises(ConnectionError):
+            ing.ingest(spark, batch(spark, (a, payload(1))), schemas.LOAD, root, "x")
+    assert values(spark, root) == [] and ing.ledger(spark, root).isEmpty()
+    both = batch(spark, (a, payload(1)), (b, payload(2)))
+    ing.ingest(spark, both, schemas.LOAD, root, "x-1")
+    assert values(spark, root) == [(a, 1.0), (b, 2.0)]
+    again = ing.ingest(spark, batch(spark, (a, payload(1))), schemas.LOAD, root, "x")
+    assert statuses(again) == {a: (False, "already loaded", 0)}
+    assert values(spark, root) == [(a, 1.0), (b, 2.0)]
+    assert ing.batch_rows(spark, root, schemas.LOAD, "x").isEmpty()
+    assert ing.batch_rows(spark, root, schemas.LOAD, "x-1").count() == 4
+    with pytest.raises(ValueError):
+        ing.ingest(spark, both, schemas.LOAD, root, "a/b")
+
+
 def _stored_without_create(spark):
     """``_stored`` for missing tables that does not go through ``createDataFrame``."""
     real = ing._stored
@@ -272,13 +299,20 @@ def test_publish_only_what_passes(spark, tmp_path):
     write_raw(f.load(spark, [{"at": 1, "resolution": "PT30M", "revision_number": 2}]),
               schemas.LOAD, raw_root, "b2")
     assert not marts.build_and_publish(spark, raw_root, root, "r2")
-    assert marts.published_folder(spark, root) == f"{root}/runs/r1"
+    first = marts.published_folder(spark, root)
+    assert first.startswith(f"{root}/runs/r1-")
     log = {r.run: r.passed for r in marts.publication_log(spark, root).collect()}
     assert log == {"r1": True, "r2": False}
-    report = spark.read.schema(marts.REPORT_DDL).parquet(f"{root}/runs/r2/report")
+    folder = marts.publication_log(spark, root).filter("run = 'r2'").first().folder
+    report = spark.read.schema(marts.REPORT_DDL).parquet(f"{folder}/report")
     assert report.filter("violations > 0").first().check == "daily_load_is_unique"
     assert marts.read_published(spark, root, "agg_daily_load").count() == 2
 
+    # A used name does not overwrite what is live.
+    assert not marts.build_and_publish(spark, raw_root, root, "r1")
+    assert marts.published_folder(spark, root) == first
+    assert marts.read_published(spark, root, "agg_daily_load").count() == 2
+
 
 def test_work_folders_lie_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")

@@ -19,6 +19,7 @@ def one(spark, column, value, kind="string"):
 
 DURATIONS = [
     ("PT15M", 900), ("PT1H", 3600), ("PT1H30M", 5400), ("PT90S", 90), ("PT0M", 0), ("PT", 0),
+    ("PT9223372036854775807H", None), ("PT99999999999999999999S", None),
     ("P1D", 0), ("15M", 0), ("PT1.5H", 0), ("", 0),
 ]
 
@@ -34,6 +35,10 @@ TIMESTAMPS = [
     ("2026-08-20T02:00+02:00", datetime(2026, 8, 20)),
     ("2026-08-20T02:00:00+0200", datetime(2026, 8, 20)),
     ("2026-08-20 00:00:00.250Z", datetime(2026, 8, 20, 0, 0, 0, 250000)),
+    ("2026-08-20T00:00+02", datetime(2026, 8, 19, 22)), ("20260820T0130Z", datetime(2026, 8, 20, 1, 30)),
+    ("2026-08-20T07+00:00", datetime(2026, 8, 20, 7)),
+    ("2026-08-20T00:00-01:00:30", datetime(2026, 8, 20, 1, 0, 30)),
+    ("2026-08-20T00:00+25:00", None), ("2026-08-20T24:61Z", None),
     ("2026-08-20T00:00", None), ("2026-08-20", None), ("2026-13-20T00:00Z", None),
     ("20 Aug 2026", None), ("", None), (None, None),
 ]
@@ -70,6 +75,7 @@ def test_numeric(spark):
 INTERVALS = [
     ("PT15M", 15, 96), ("PT30M", 30, 48), ("PT60M", 60, 24), ("PT1H", 60, 24),
     ("PT7M", 7, 206), ("PT1H30M", None, None), ("PT90S", None, None), ("PT0M", 0, None),
+    ("PT9223372036854775807H", None, None), ("PT99999999999999999999M", None, None),
 ]
 
 
@@ -94,23 +100,23 @@ def test_load_id(spark):
 
 
 @pytest.mark.parametrize("start, end", [
-    ("2026-08-20T00:00Z", "2026-08-20T01:00Z"),
-    ("2026-08-20T02:00+02:00", "2026-08-20T03:00+02:00"),
+    ("2024-12-31T23:30Z", "2025-01-01T00:30Z"),
+    ("2024-12-31T19:30-04:00", "2024-12-31T20:30-04:00"),
 ])
 def test_manifest_names_and_params_are_utc(spark, start, end):
     frame = manifest.parsed_intervals(
         spark.createDataFrame([(start, end)], "a string, b string"), "a", "b"
     )
-    rows = manifest.request_manifest(frame).filter("bidding_zone = '10YFR-RTE------C'").collect()
+    rows = manifest.request_manifest(frame).filter("bidding_zone = '10YES-REE------0'").collect()
     got = {r.dataset: r for r in rows}
     assert set(got) == set(DATASETS)
     for dataset, row in got.items():
         assert row.source_object_name == (
-            f"entsoe/{dataset}/bidding_zone=10YFR-RTE------C/year=2026/month=08/day=20/"
-            "20260820T0000Z_20260820T0100Z.xml"
+            f"entsoe/{dataset}/bidding_zone=10YES-REE------0/year=2024/month=12/day=31/"
+            "20241231T2330Z_20250101T0030Z.xml"
         )
-    bounds = {"periodStart": "202608200000", "periodEnd": "202608200100"}
-    zone = "10YFR-RTE------C"
+    bounds = {"periodStart": "202412312330", "periodEnd": "202501010030"}
+    zone = "10YES-REE------0"
     assert got["actual_load"].params == {
         "documentType": "A65", "processType": "A16", "outBiddingZone_Domain": zone, **bounds}
     assert got["actual_generation"].params == {

@@ -1,6 +1,6 @@
 """Small market documents, built from values."""
 
-ZONE = "10YFR-RTE------C"
+ZONE = "10YTEST-NORTH--7"
 
 
 def tag(name, *content):
@@ -19,7 +19,7 @@ def series(name, parts, *periods):
     return tag("TimeSeries", tag("mRID", name), *[tag(k, v) for k, v in parts], *periods)
 
 
-def document(root, kind, name, series_list, process=True, created="2026-08-22T08:27:52Z"):
+def document(root, kind, name, series_list, process=True, created="2025-03-12T14:05:09Z"):
     head = [tag("mRID", name), tag("revisionNumber", 1), tag("type", kind)]
     head += [tag("process.processType", "A16")] if process else []
     return (
@@ -34,14 +34,14 @@ LOAD_PARTS = (
     ("outBiddingZone_Domain.mRID", ZONE), ("quantity_Measure_Unit.name", "MAW"),
     ("curveType", "A03"),
 )
-HOUR = ("2026-08-20T00:00Z", "2026-08-20T01:00Z")
+HOUR = ("2025-03-10T00:00Z", "2025-03-10T01:00Z")
 
 
 def load():
-    points = [(1, "38821.26"), (3, "39000.50")]
+    points = [(1, "412.75"), (3, "398.20")]
     return document(
-        "GL_MarketDocument", "A65", "document-load-1",
-        [series("series-load-1", LOAD_PARTS, period(*HOUR, "PT15M", points))],
+        "GL_MarketDocument", "A65", "L-77",
+        [series("ts-7a", LOAD_PARTS, period(*HOUR, "PT15M", points))],
     )
 
 
@@ -52,11 +52,11 @@ def generation():
         return series(name, parts, period(*HOUR, "PT15M", points))
 
     return document(
-        "GL_MarketDocument", "A75", "document-generation-1",
+        "GL_MarketDocument", "A75", "G-41",
         [
-            one("series-generation-out", "outBiddingZone_Domain.mRID",
-                [(1, "206.63"), (3, "169.74")]),
-            one("series-generation-in", "inBiddingZone_Domain.mRID", [(1, "174.62")]),
+            one("ts-fed", "outBiddingZone_Domain.mRID",
+                [(1, "51.35"), (3, "48.9")]),
+            one("ts-drawn", "inBiddingZone_Domain.mRID", [(1, "7.15")]),
         ],
     )
 
@@ -75,12 +75,12 @@ def prices(classes=(2, 1), interval="timeInterval"):
         if position is not None:
             parts.append((CLASSIFICATION, position))
         return series(
-            f"series-price-{number}", parts,
-            period("2026-08-19T22:00Z", "2026-08-20T22:00Z", "PT15M",
-                   [(24, "164.96"), (26, "165.40")], "price.amount", interval),
+            f"auction-{number}", parts,
+            period("2025-03-09T22:00Z", "2025-03-10T22:00Z", "PT15M",
+                   [(24, "88.41"), (26, "91.07")], "price.amount", interval),
         )
 
     return document(
-        "Publication_MarketDocument", "A44", "document-price-1",
+        "Publication_MarketDocument", "A44", "P-5",
         [one(i + 1, c) for i, c in enumerate(classes)], process=False,
     )

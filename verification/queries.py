@@ -80,9 +80,14 @@ def _duplicates(model: str, grain) -> Query:
     return _check(model, lambda df: checks.duplicated_keys(df, grain))
 
 
-def price_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _repeated(model: str, grain, rows: str) -> Query:
+    """Duplicates of a unique model, after some of its rows were added a second time."""
+    return _check(model, lambda df: checks.duplicated_keys(df.unionByName(df.filter(rows)), grain))
+
+
+def price_from_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = projections.stage_prices(bridge.raw_prices(_events(spark, sf_dir)))
-    return comparable(models.canonical_prices_one_shuffle(staged))
+    return comparable(models.canonical_prices(models.deduplicated_prices(staged)))
 
 
 def _hot(raw: DataFrame) -> DataFrame:
@@ -442,7 +447,7 @@ QUERIES: dict[str, Query] = {
     "win2_generation_canonical": _generation("int_actual_generation_canonical"),
     "win3_price_dedup": _price("int_day_ahead_prices_deduplicated"),
     "win4_price_canonical": _price("int_day_ahead_prices_canonical"),
-    "win4_price_canonical_one_shuffle": price_one_shuffle,
+    "win4_price_canonical_one_shuffle": price_from_staged,
     "win_latest_lineitem": lineitem_latest,
     "win1_hot_key": hot_key("int_actual_load_canonical"),
     "agg1_hot_key": hot_key("agg_daily_load"),
@@ -476,11 +481,17 @@ QUERIES: dict[str, Query] = {
     "q7_price_grain_duplicates": _duplicates(
         "int_day_ahead_prices_deduplicated", schemas.PRICE_GRAIN
     ),
-    "q8_fct_load_unique": _duplicates("fct_actual_load", schemas.LOAD_GRAIN),
-    "q9_fct_generation_unique": _duplicates("fct_generation_by_type", schemas.GENERATION_GRAIN),
-    "q10_fct_price_unique": _duplicates("fct_day_ahead_prices", schemas.PRICE_FACT_GRAIN),
-    "q11_daily_price_unique": _duplicates(
-        "agg_daily_day_ahead_prices", schemas.DAILY_PRICE_GRAIN
+    "q8_fct_load_unique": _repeated(
+        "fct_actual_load", schemas.LOAD_GRAIN, "hour(point_timestamp) = 3"
+    ),
+    "q9_fct_generation_unique": _repeated(
+        "fct_generation_by_type", schemas.GENERATION_GRAIN, "hour(point_timestamp) = 3"
+    ),
+    "q10_fct_price_unique": _repeated(
+        "fct_day_ahead_prices", schemas.PRICE_FACT_GRAIN, "hour(point_timestamp) = 3"
+    ),
+    "q11_daily_price_unique": _repeated(
+        "agg_daily_day_ahead_prices", schemas.DAILY_PRICE_GRAIN, "day(delivery_date) < 9"
     ),
     "q12_daily_load_duplicates": _duplicates("agg_daily_load", schemas.DAILY_LOAD_GRAIN),
     "q13_daily_generation_duplicates": _duplicates(

@@ -16,13 +16,13 @@ MINUTES_PER_DAY = 1440
 
 
 def interval_minutes(resolution: Column) -> Column:
-    """Whole minutes of ``PTnM`` or ``PTnH``; null for every other form."""
+    """Whole minutes of ``PTnM`` or ``PTnH``; null for every other form and on overflow."""
 
     def amount(pattern: str) -> Column:
-        return F.regexp_extract(resolution, pattern, 1).cast("bigint")
+        return F.regexp_extract(resolution, pattern, 1).try_cast("bigint")
 
     return F.when(resolution.rlike(_MINUTES), amount(_MINUTES)).when(
-        resolution.rlike(_HOURS), F.lit(60).cast("bigint") * amount(_HOURS)
+        resolution.rlike(_HOURS), F.try_multiply(F.lit(60).cast("bigint"), amount(_HOURS))
     )
 
 

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 # Accepted text formats.
 _DURATION = r"^PT(?:([0-9]+)H)?(?:([0-9]+)M)?(?:([0-9]+)S)?$"
 _OFFSET_TIMESTAMP = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?"
-    r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
+    r"^([0-9]{4})-?([0-9]{2})-?([0-9]{2})[T ]([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?"
+    r"(Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2})?)?)$"
 )
+# Microseconds at the ends of the years 1 to 9999.
+_MICROS = (-62_135_596_800_000_000, 253_402_300_799_999_999)
 WHITESPACE = " \t\r\n\f\x0b"
 
 
@@ -27,26 +29,46 @@ def numeric(text: Column) -> Column:
 
 
 def offset_timestamp(text: Column) -> Column:
-    """Instant of an ISO timestamp. Text without a UTC offset is not accepted."""
-    with_dot = F.translate(text, ",", ".")
-    with_seconds = F.regexp_replace(
-        with_dot, r"^(.{10}).([0-9]{2}:[0-9]{2})(Z|[+-].*)$", "$1T$2:00$3"
-    )
-    with_colon = F.regexp_replace(with_seconds, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
-    return F.when(text.rlike(_OFFSET_TIMESTAMP), with_colon.try_cast("timestamp"))
+    """Instant of an ISO timestamp. Text without a UTC offset is not accepted.
+
+    Separators and lower units may be left out, and the offset may hold seconds.
+    """
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, _OFFSET_TIMESTAMP, group)
+
+    def unit(group: int) -> Column:
+        return F.when(part(group) == "", "00").otherwise(part(group))
+
+    fraction = F.when(part(7) == "", "0").otherwise(part(7))
+    date = F.concat_ws("-", part(1), part(2), part(3))
+    time = F.concat(F.concat_ws(":", unit(4), unit(5), unit(6)), F.lit("."), fraction)
+    local = F.concat(date, F.lit("T"), time, F.lit("Z")).try_cast("timestamp")
+    digits = F.rpad(F.regexp_replace(part(8), "[^0-9]", ""), 6, "0")
+    hours, minutes, seconds = (digits.substr(i, 2).try_cast("bigint") for i in (1, 3, 5))
+    ahead = F.when(F.startswith(part(8), F.lit("-")), -1).otherwise(1).cast("bigint")
+    valid = (hours < 24) & (minutes < 60) & (seconds < 60)
+    shift = ahead * (hours * 3600 + minutes * 60 + seconds)
+    return F.when(text.rlike(_OFFSET_TIMESTAMP) & valid, later(local, -shift, F.lit(1).cast("bigint")))
 
 
 def duration_seconds(text: Column) -> Column:
-    """Seconds of an ISO ``PTnHnMnS`` duration; zero for any other text."""
+    """Seconds of an ISO ``PTnHnMnS`` duration; zero for any other text, null on overflow."""
 
     def part(group: int, seconds: int) -> Column:
         amount = F.regexp_extract(text, _DURATION, group)
         # An absent part is empty text. It must not reach the cast, which would fail slowly.
-        return F.when(amount != "", amount.try_cast("bigint")).otherwise(0) * F.lit(
-            seconds
-        ).cast("bigint")
+        number = F.when(amount != "", amount.try_cast("bigint")).otherwise(0)
+        return F.try_multiply(number, F.lit(seconds).cast("bigint"))
+
+    return F.try_add(F.try_add(part(1, 3600), part(2, 60)), part(3, 1))
+
 
-    return part(1, 3600) + part(2, 60) + part(3, 1)
+def later(start: Column, steps: Column, seconds: Column) -> Column:
+    """Instant some steps after another; null where it leaves the years 1 to 9999."""
+    elapsed = F.try_multiply(F.try_multiply(steps, seconds), F.lit(1_000_000).cast("bigint"))
+    micros = F.try_add(F.unix_micros(start), elapsed)
+    return F.when(micros.between(*_MICROS), F.timestamp_micros(micros))
 
 
 def utc_minute(instant: Column) -> Column:

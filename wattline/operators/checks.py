@@ -1,7 +1,7 @@
 """Data-quality checks.
 
-A check describes violations. ``violations`` lists the offending rows or groups of one
-check; ``count_checks`` counts all checks of one table in a single pass over it.
+A check describes violations: some functions list the offending rows or groups of one check,
+and ``count_checks`` counts all checks of one table in a single pass over it.
 """
 
 from __future__ import annotations
@@ -136,8 +136,8 @@ def count_checks(
 
     Row checks are one aggregation that shuffles no rows. A uniqueness check
     ``(name, grain)`` has to count per grain. ``clustered`` says that ``df`` already ends
-    in a step that groups by the grain: then both are counted in the same pass and nothing
-    is shuffled for it. Otherwise, as for a table read from storage, they are two passes,
+    in a step that groups by the grain: then both are counted in the same pass, which shuffles
+    at most the already grouped rows once more. Otherwise, as for a table read from storage, they are two passes,
     so that only the grain columns are shuffled.
     """
     counts = [F.count_if(c.predicate).alias(f"c{i}") for i, c in enumerate(row_checks)]

@@ -7,6 +7,7 @@ collapses whole zone-days and hardly anything is shuffled.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -93,10 +94,7 @@ def refresh_chain(
     facts_path, daily_path = _path(root, chain.facts), _path(root, chain.daily)
     day, days = layout.day_column, models.affected_days(changed)
 
-    raw = sources.read_table(
-        spark, _path(raw_root, chain.dataset.name), chain.dataset.schema,
-        chain.dataset.layout, with_day=True,
-    )
+    raw = sources.read_raw(spark, raw_root, chain.dataset, with_day=True)
     touched = _rows_of_days(raw, day, days).select(*chain.dataset.schema.fieldNames())
     facts = chain.branch(touched)[chain.facts]
     sinks.replace_days(facts, facts_path, layout)
@@ -147,8 +145,9 @@ def build_and_publish(spark: SparkSession, raw_root: str, root: str, run: str) -
 
     Publishing adds one row to a log and copies nothing, so a run that fails leaves the
     published tables as they were. Its tables and report stay in the folder of the run.
+    Every attempt has a folder of its own: a name that is used again overwrites nothing.
     """
-    folder = f"{root.rstrip('/')}/runs/{run}"
+    folder = f"{root.rstrip('/')}/runs/{run}-{uuid.uuid4().hex}"
     built = build_all(spark, raw_root, folder)
     report = quality.quality_report(built, stored=schemas.MART_LAYOUTS)
     report.write.mode("overwrite").parquet(f"{folder}/report")

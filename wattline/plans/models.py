@@ -53,16 +53,6 @@ def canonical_prices(deduplicated: DataFrame) -> DataFrame:
     )
 
 
-def canonical_prices_one_shuffle(staged: DataFrame) -> DataFrame:
-    """Same rows as deduplicating and then canonicalizing, with one shuffle instead of two.
-
-    The canonical grain is part of the duplicate keys, so partitioning by the grain once
-    serves both picks. Rows are then no longer thinned out before they are shuffled: use it
-    where no single grain value holds a large share of the rows.
-    """
-    return canonical_prices(deduplicated_prices(staged.repartition(*schemas.PRICE_GRAIN)))
-
-
 def daily_load(facts: DataFrame) -> DataFrame:
     return kpis.daily_power_kpis(facts, "load_quantity", "load")
 

@@ -8,6 +8,8 @@ accepted rows and ``rejected`` for the rest.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -160,22 +162,47 @@ def stream_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def name_objects(files: DataFrame, path: str) -> DataFrame:
-    root = path.split("://")[-1].removeprefix("file:").strip("/") + "/"
+    """Files named by their place below ``path``; a file from elsewhere fails the job."""
+    if set("*?[{") & set(path):
+        raise ValueError(f"{path}: names are relative to one folder, so it cannot be a pattern")
+    scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    bare = re.sub(scheme, "", path)
+    root = (bare if bare.startswith("/") else os.path.abspath(bare)).rstrip("/") + "/"
+    place = F.regexp_replace("path", scheme, "")
+    outside = F.raise_error(F.concat(F.lit(f"not below {root}: "), F.col("path")))
+    name = F.substring(place, len(root) + 1, 2**31 - 1)
     return files.select(
-        F.substring_index(F.col("path"), root, -1).alias("source_object_name"),
+        F.when(F.startswith(place, F.lit(root)), name)
+        .otherwise(outside.cast("string")).alias("source_object_name"),
         "content",
         F.col("modificationTime").alias("arrived_at"),
     )
 
 
+# Declared encodings that can be read.
+_ENCODINGS = ("", "UTF-8", "US-ASCII", "ISO-8859-1")
+
+
+def declared_encoding(content: Column) -> Column:
+    """Encoding named by the XML declaration, upper case; empty when it names none."""
+    latin = F.decode(content, "ISO-8859-1")
+    return F.upper(
+        F.regexp_extract(latin, r"""^[^<]*<\?xml[^>]*?encoding=["']([A-Za-z0-9._-]+)["']""", 1)
+    )
+
+
+def unsupported_encoding(content: Column) -> Column:
+    """Whether the bytes begin like UTF-16 or name an encoding that cannot be read."""
+    begin = F.hex(F.substring(content, 1, 2))
+    wide = begin.isin("FEFF", "FFFE", "003C", "3C00")
+    return F.coalesce(wide | ~declared_encoding(content).isin(*_ENCODINGS), F.lit(False))
+
+
 def decoded(content: Column) -> Column:
     """Document text in its declared encoding; null where the bytes do not fit it."""
-    prolog = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
-    declared = F.upper(
-        F.regexp_extract(prolog, r"""^[^>]*?encoding=["']([A-Za-z0-9._-]+)["']""", 1)
-    )
+    declared = declared_encoding(content)
     return F.when(declared == "ISO-8859-1", F.decode(content, "ISO-8859-1")).when(
-        declared.isin("", "UTF-8", "US-ASCII"), F.try_validate_utf8(content.cast("string"))
+        declared.isin(*_ENCODINGS), F.try_validate_utf8(content.cast("string"))
     )
 
 
@@ -209,17 +236,24 @@ def _children(array: Column) -> Column:
 
 
 def _typed_series(spec: DocumentSpec, document: Column) -> Column:
-    def point(p: Column) -> Column:
-        return F.struct(*_typed(spec.point, p))
-
     def period(p: Column) -> Column:
         interval = _first(F.coalesce(*[p[name] for name in spec.intervals]))
         resolution = _first(p["resolution"])
+        start = text.offset_timestamp(_first(interval["start"]))
+        seconds = text.duration_seconds(resolution)
+
+        def point(q: Column) -> Column:
+            position = _value(_POSITION, q)
+            steps = F.try_subtract(position, F.lit(1).cast("bigint"))
+            return F.struct(
+                *_typed(spec.point, q), text.later(start, steps, seconds).alias("instant")
+            )
+
         return F.struct(
-            text.offset_timestamp(_first(interval["start"])).alias("period_start"),
+            start.alias("period_start"),
             text.offset_timestamp(_first(interval["end"])).alias("period_end"),
             resolution.alias("resolution"),
-            text.duration_seconds(resolution).alias("resolution_seconds"),
+            seconds.alias("resolution_seconds"),
             F.transform(_children(p["Point"]), point).alias("points"),
         )
 
@@ -251,11 +285,16 @@ def _period_checks(spec: DocumentSpec, p: Column) -> dict[str, Column]:
     def any_point(field: Field) -> Column:
         return F.exists(p["points"], lambda point: _bad(field, lambda name: point[name]))
 
+    def out_of_range(point: Column) -> Column:
+        readable = point["position"].isNotNull() & p["period_start"].isNotNull()
+        return readable & seconds.isNotNull() & point["instant"].isNull()
+
     return {
         "Period.start": p["period_start"].isNull(),
         "Period.end": p["period_end"].isNull(),
         "Period.resolution": seconds.isNull() | (seconds < 1),
         **{f"Point.{f.path}": any_point(f) for f in spec.point},
+        "Point.instant": F.exists(p["points"], out_of_range),
     }
 
 
@@ -283,7 +322,8 @@ def _errors(spec: DocumentSpec) -> Column:
     series = F.col("series")
     every = F.concat(_messages(header), F.flatten(F.transform(series, series_messages)))
     return (
-        F.when(F.col("malformed"), F.array(F.lit("document: not well-formed XML")))
+        F.when(F.col("unreadable"), F.array(F.lit("document: unsupported encoding")))
+        .when(F.col("malformed"), F.array(F.lit("document: not well-formed XML")))
         .when(
             reduce(or_, header.values()) | F.exists(series, series_is_bad),
             F.array_distinct(F.filter(every, lambda e: e.isNotNull())),
@@ -322,15 +362,19 @@ def parse(documents: DataFrame, spec: DocumentSpec) -> DataFrame:
         "columnNameOfCorruptRecord": _CORRUPT,
     }
     read = documents.select(
-        "source_object_name", (decoded(content) if is_binary else content).alias("xml")
+        "source_object_name",
+        (decoded(content) if is_binary else content).alias("xml"),
+        (unsupported_encoding(content) if is_binary else F.lit(False)).alias("unreadable"),
     ).select(
         "source_object_name",
         F.from_xml("xml", document_ddl(spec), options).alias("document"),
         (F.col("xml").isNull() | ~_single_root(F.col("xml"))).alias("broken"),
+        "unreadable",
     )
     document = F.col("document")
     typed = read.select(
         "source_object_name",
+        "unreadable",
         (F.col("broken") | document.isNull() | document[_CORRUPT].isNotNull()).alias("malformed"),
         *[c for c in _typed(spec.header, document)],
         _typed_series(spec, document).alias("series"),
@@ -361,13 +405,12 @@ def flatten(parsed: DataFrame, spec: DocumentSpec) -> DataFrame:
         .select(*header, *series, F.explode("periods").alias("p"))
         .select(*header, *series, *[f"p.{c}" for c in period], "p.points")
         .select(*header, *series, *period, F.explode("points").alias("v"))
-        .select(*header, *series, *period, *[f"v.{f.column}" for f in spec.point])
-    )
-    elapsed = (F.col("position") - 1) * F.col("resolution_seconds")
-    stamped = rows.withColumn(
-        "point_timestamp", F.timestamp_add("SECOND", elapsed, F.col("period_start"))
+        .select(
+            *header, *series, *period, *[f"v.{f.column}" for f in spec.point],
+            F.col("v.instant").alias("point_timestamp"),
+        )
     )
-    return stamped.select(*spec.dataset.schema.fieldNames())
+    return rows.select(*spec.dataset.schema.fieldNames())
 
 
 def reject_empty(parsed: DataFrame) -> DataFrame:
