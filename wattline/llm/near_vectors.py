@@ -28,7 +28,7 @@ from wattline.llm.common import stored, table, workers
 from wattline.llm.graph import components
 from wattline.llm.topk import usable
 
-SIMILAR, TREES, MARGIN, LEAF, SAMPLE, BLOCK = 0.9, 8, 0.4, 256, 20_000, 1024
+SIMILAR, TREES, MARGIN, LEAF, SAMPLE, BLOCK = 0.9, 6, 0.4, 1024, 20_000, 2048
 FOUND = "node long, links long, root long"
 
 
@@ -120,9 +120,9 @@ def _compare(rows: pa.Table, similar: float) -> pa.Table:
     pairs_a, pairs_b = [], []
     for start in range(0, len(node), 256):
         some = np.arange(start, min(start + 256, len(node)))
-        near = x[some] @ x.T >= similar
+        near = x[some] @ x[start:].T >= similar
         i, j = np.nonzero(near)
-        i = some[i]
+        i, j = some[i], j + start
         keep = i < j
         if first != second:
             keep &= own[i] != own[j]
