@@ -274,6 +274,84 @@ def append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(tables.read_raw(spark, root, schemas.GENERATION))
 
 
+def other_batch_after_a_broken_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW rows after an attempt that wrote rows and ledger but no commit, and another batch."""
+    made = made_documents.generation_documents(_events(spark, sf_dir))
+    root, spec = _folder(spark, "broken"), documents.GENERATION
+    ingest.ingest(spark, _half(made, 0), schemas.GENERATION, root, "x")
+    lost = documents.parse(_half(made, 1), spec)
+    key = "actual_generation-y-0"
+    sinks.write_batch(
+        documents.flatten(lost, spec), root, "actual_generation", key, schemas.GENERATION.layout
+    )
+    left = ingest.ledger(spark, root).withColumn("load_batch", F.lit(key))
+    sinks.write_batch(left.drop("load_batch"), root, "ledger", key, None)
+    ingest.ingest(spark, made, schemas.GENERATION, root, "x-1")
+    return comparable(tables.read_raw(spark, root, schemas.GENERATION))
+
+
+def rows_of_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of batch ``x`` beside a batch whose name begins alike."""
+    made = made_documents.generation_documents(_events(spark, sf_dir))
+    root = _folder(spark, "batches")
+    ingest.ingest(spark, _half(made, 0), schemas.GENERATION, root, "x")
+    ingest.ingest(spark, made, schemas.GENERATION, root, "x-1")
+    return comparable(ingest.batch_rows(spark, root, schemas.GENERATION, "x"))
+
+
+def provisioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per RAW table right after provisioning, and after one of them got its documents."""
+    root = _folder(spark, "provisioned")
+    made = made_documents.load_documents(_events(spark, sf_dir))
+
+    def counts(moment: str) -> DataFrame:
+        parts = [
+            tables.read_raw(spark, root, dataset).agg(
+                F.lit(moment).alias("moment"), F.lit(name).alias("dataset"),
+                F.count("*").alias("row_count"),
+            )
+            for name, dataset in schemas.DATASETS.items()
+        ]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    ingest.provision_raw(spark, root)
+    path = _folder(spark, "counts")
+    counts("provisioned").write.parquet(path)
+    ingest.ingest(spark, made, schemas.LOAD, root, "b1")
+    ingest.provision_raw(spark, root)
+    return spark.read.parquet(path).unionByName(counts("loaded"))
+
+
+# What becomes of a document by event_id % 7: text to replace, its replacement, the error.
+OUT_OF_RANGE = {
+    0: ("<position>3<", "<position>10000000000000<", "Point.instant: missing or invalid"),
+    1: ("<position>3<", "<position>9223372036854775807<", "Point.instant: missing or invalid"),
+    2: ("PT15M", "PT9223372036854775807H", "Period.resolution: missing or invalid"),
+    3: ("<position>3<", "<position>99999999999999999999<", "Point.position: missing or invalid"),
+}
+
+
+def out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of load documents of which some hold values no timestamp can take."""
+    made = made_documents.load_documents(_events(spark, sf_dir))
+    body, kind = F.col("content").cast("string"), F.col("event_id") % 7
+    damaged = body
+    for number, (old, new, _) in OUT_OF_RANGE.items():
+        changed = F.replace(body, F.lit(old), F.lit(new))
+        damaged = F.when(kind == number, changed).otherwise(damaged)
+    rows = made.withColumn("content", damaged.cast("binary"))
+    root = _folder(spark, "range")
+    ingest.ingest(spark, rows, schemas.LOAD, root, "b1")
+    points = tables.read_raw(spark, root, schemas.LOAD).groupBy("source_object_name").agg(
+        F.count("*").alias("points")
+    )
+    reasons = ingest.quarantined(spark, root).select(
+        "source_object_name", F.element_at("errors", 1).alias("reason"),
+        F.size("errors").cast("bigint").alias("error_count"),
+    )
+    return points.join(reasons, "source_object_name", "full")
+
+
 def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of a batch of partly damaged documents, and of the whole set after it."""
     documents = made_documents.damaged_price_documents(_events(spark, sf_dir))
@@ -380,12 +458,14 @@ def publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RAW prices read back from the stored table for a range of days."""
-    root = _stored_raw(spark, _events(spark, sf_dir), "raw")
-    return comparable(
-        tables.read_raw(spark, root, schemas.PRICES, "2024-01-10", "2024-01-12")
-    )
+def raw_scan(dataset: schemas.Dataset) -> Query:
+    """RAW rows read back from a stored table for a range of days."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _stored_raw(spark, _events(spark, sf_dir), "raw")
+        return comparable(tables.read_raw(spark, root, dataset, "2024-01-10", "2024-01-12"))
+
+    return query
 
 
 def views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -506,12 +586,18 @@ QUERIES: dict[str, Query] = {
     "src3_price_xml": _points(made_documents.price_documents, documents.PRICES),
     "src3_quarantine": quarantine,
     "src3_accepted_points": accepted_points,
-    "src4_raw_scan": raw_scan,
+    "src4_raw_scan": raw_scan(schemas.PRICES),
+    "src4_raw_scan_load": raw_scan(schemas.LOAD),
+    "src4_raw_scan_generation": raw_scan(schemas.GENERATION),
+    "src_out_of_range": out_of_range,
     "src5_zones": zone_lookup,
     "src6_manifest": manifest_rows,
     "src8_interval_validation": interval_problems,
     "snk1_landing_rerun": landing_rerun,
     "snk2_append_rerun": append_rerun,
+    "snk2_broken_then_other_batch": other_batch_after_a_broken_one,
+    "snk2_rows_of_one_batch": rows_of_one_batch,
+    "snk4_provisioned": provisioned,
     "snk3_empty_documents": empty_documents,
     "snk5_views": views,
     "snk7_partitioned_mart": partitioned_mart,

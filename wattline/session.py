@@ -7,12 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Days and instants are UTC, bad casts fail loudly, partition values stay text.
+# Days and instants are UTC, bad casts fail loudly, partition values stay text,
+# element names of documents are told apart by letter case.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.caseSensitive": "true",
 }
 
 
