@@ -1,0 +1,83 @@
+"""Small tables with awkward rows, and plain versions of what the operators compute."""
+
+from __future__ import annotations
+
+import random
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, `_row` long"
+
+AWKWARD = [
+    None, "", " \t\n", "x", "Two words", "x", "aİΣß é́ 中文 1234 don't !!!'s",
+    "<|endoftext|>mid<|startoftext|> <|endoftext|>", "one\u0085two three\x1cfour  \r\n five   ",
+    "naïve " * 3000, "unsplit" * 4000, "=" * 9000, "\U0001f469‍\U0001f467 ok",
+]
+
+
+def awkward_docs(spark):
+    """Nulls in every column, empty and long texts, repeated rows, extra clashing columns."""
+    rows = [
+        (i, text, None if i % 3 else "en", None if i % 4 == 1 else f"s{i % 3}", None, "clash", -1)
+        for i, text in enumerate(AWKWARD)
+    ]
+    rows += [rows[4], rows[4], (None, "Two words", None, None, None, None, None)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def empty_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def made_docs(spark, n=400, seed=3):
+    """Random texts with copies and near copies, one group of them large."""
+    r = random.Random(seed)
+    words = [f"w{k}" for k in range(300)]
+    base = [r.choice(words) for _ in range(80)]
+    rows = []
+    for i in range(n):
+        if i % 3 == 0:  # a third of all rows: near copies of one text
+            own = list(base)
+            for _ in range(r.randint(0, 3)):
+                own[r.randrange(len(own))] = r.choice(words)
+        elif i % 3 == 1 and rows:
+            own = rows[r.randrange(len(rows))][1].split()
+        else:
+            own = [r.choice(words) for _ in range(r.randint(1, 60))]
+        if i % 5 == 0:
+            own = own + ["the", "same", "passage", "in", "many", "texts"]
+        rows.append((i, " ".join(own), "en", f"s{0 if i % 3 == 0 else i % 5}", None, "x", i))
+    return spark.createDataFrame(rows, DOCS)
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def shingles(text, width=3):
+    found = words(text)
+    if not found:
+        return frozenset()
+    n = min(width, len(found))
+    return frozenset(tuple(found[i : i + n]) for i in range(len(found) - n + 1))
+
+
+def least_linked(ids, links):
+    """Smallest id reachable from each position by links (pairs of positions)."""
+    label = list(range(len(ids)))
+
+    def find(x):
+        while label[x] != x:
+            label[x] = label[label[x]]
+            x = label[x]
+        return x
+
+    for a, b in links:
+        label[find(a)] = find(b)
+    least = {}
+    for i, own in enumerate(ids):
+        root = find(i)
+        if own is not None:
+            least[root] = min(least.get(root, own), own)
+    return [least.get(find(i)) for i in range(len(ids))]

@@ -169,7 +169,7 @@ def mix(
     within = (F.col("_bucket") < F.col("edge")) | (
         (F.col("_bucket") == F.col("edge")) & (here <= F.col("cut"))
     )
-    copies = F.col("epochs") + F.coalesce(within.cast("long"), F.lit(0))
+    copies = F.least(F.col("epochs") + F.coalesce(within.cast("long"), F.lit(0)), F.lit(cap))
     return (
         keyed.join(plan, F.col("_source").eqNullSafe(F.col("p_source")))
         .withColumn("copies", copies)

@@ -87,6 +87,8 @@ class KdTree:
                 continue
             rows = self.rows[node]
             scores = self.x[rows] @ q
+            if scores.dtype == object:
+                scores = np.clip(scores, -LONG - 1, LONG)
             for i in range(len(rows)) if least is None else np.flatnonzero(scores >= least):
                 row = int(rows[i])
                 if row == own:
