@@ -1,0 +1,101 @@
+"""The declared lists against literal expectations, as the SQL oracles are built from them too."""
+
+from wattline import schemas
+
+# Business keys, payload of a price, and required columns of the models.
+KEYS = {
+    "LOAD_GRAIN": """point_timestamp bidding_zone""",
+    "GENERATION_GRAIN": """point_timestamp bidding_zone psr_type domain_direction""",
+    "PRICE_GRAIN": """point_timestamp in_domain classification_sequence_position""",
+    "PRICE_DUPLICATE_KEYS": """
+        point_timestamp source_object_name document_id in_domain out_domain auction_type
+        business_type contract_market_agreement_type classification_sequence_position
+    """,
+    "PRICE_PAYLOAD": """
+        document_type revision_number document_created_at currency_unit price_unit curve_type
+        period_start period_end resolution position price_amount
+    """,
+    "PRICE_FACT_GRAIN": """point_timestamp bidding_zone classification_sequence_position""",
+    "DAILY_LOAD_GRAIN": """observation_date bidding_zone""",
+    "DAILY_GENERATION_GRAIN": """observation_date bidding_zone psr_type domain_direction""",
+    "DAILY_PRICE_GRAIN": """delivery_date bidding_zone classification_sequence_position""",
+}
+REQUIRED = {
+    "stg_actual_load": """
+        source_object_name document_id time_series_id bidding_zone point_timestamp
+        load_quantity
+    """,
+    "stg_actual_generation": """
+        source_object_name document_id time_series_id psr_type point_timestamp
+        generation_quantity
+    """,
+    "stg_day_ahead_prices": """
+        source_object_name document_id time_series_id in_domain out_domain point_timestamp
+        price_amount
+    """,
+    "int_actual_load_canonical": """
+        source_object_name document_id time_series_id bidding_zone point_timestamp
+        load_quantity
+    """,
+    "int_actual_generation_normalized": """
+        source_object_name document_id time_series_id bidding_zone domain_direction psr_type
+        point_timestamp generation_quantity
+    """,
+    "int_actual_generation_canonical": """
+        source_object_name document_id time_series_id bidding_zone domain_direction psr_type
+        point_timestamp generation_quantity
+    """,
+    "int_day_ahead_prices_deduplicated": """
+        source_object_name document_id time_series_id in_domain out_domain point_timestamp
+        price_amount
+    """,
+    "int_day_ahead_prices_canonical": """
+        source_object_name document_id time_series_id in_domain out_domain point_timestamp
+        price_amount
+    """,
+    "fct_actual_load": """
+        source_object_name document_id time_series_id bidding_zone point_timestamp
+        load_quantity quantity_unit resolution
+    """,
+    "fct_generation_by_type": """
+        source_object_name document_id time_series_id bidding_zone domain_direction psr_type
+        point_timestamp generation_quantity quantity_unit resolution
+    """,
+    "fct_day_ahead_prices": """
+        source_object_name document_id time_series_id bidding_zone auction_type
+        contract_market_agreement_type period_start period_end point_timestamp price_amount
+        currency_unit price_unit resolution
+    """,
+    "agg_daily_load": """
+        bidding_zone observation_date quantity_unit resolution interval_minutes
+        observed_interval_count expected_interval_count average_load_mw minimum_load_mw
+        maximum_load_mw peak_load_timestamp observed_energy_mwh coverage_ratio
+        is_complete_observation_day
+    """,
+    "agg_daily_generation_by_type": """
+        bidding_zone observation_date psr_type domain_direction quantity_unit resolution
+        interval_minutes observed_interval_count expected_interval_count average_generation_mw
+        minimum_generation_mw maximum_generation_mw peak_generation_timestamp
+        observed_energy_mwh coverage_ratio is_complete_observation_day
+    """,
+    "agg_daily_day_ahead_prices": """
+        bidding_zone delivery_date period_start period_end currency_unit price_unit resolution
+        interval_minutes observed_interval_count expected_interval_count
+        average_price_eur_per_mwh minimum_price_eur_per_mwh maximum_price_eur_per_mwh
+        negative_price_interval_count negative_price_duration_hours coverage_ratio
+        is_complete_delivery_day
+    """,
+}
+
+
+def test_keys():
+    assert {name: set(getattr(schemas, name)) for name in KEYS} == {
+        name: set(columns.split()) for name, columns in KEYS.items()
+    }
+
+
+def test_required_columns():
+    assert {model: set(columns) for model, columns in schemas.REQUIRED_COLUMNS.items()} == {
+        model: set(columns.split()) for model, columns in REQUIRED.items()
+    }
+    assert sum(map(len, schemas.REQUIRED_COLUMNS.values())) == 133
