@@ -5,16 +5,16 @@
    hash. Any order is right, this one keeps common passages out of prefixes.
 2. A set's prefix is as many of its first shingles as two similar sets cannot both do without.
    Equal sets become one row. Sets with equal prefix and size become one group.
-3. Groups meet at the prefix shingles that at least two groups hold. There group pairs pass a
-   size and a position filter, are expanded to their members, and a member pair passes if the
-   bitmaps of both sets differ in no more bits than two similar sets can.
-4. Of the passing pairs every set first proposes one partner per shingle; these pairs are
-   verified on the sets themselves and give components.
-5. Then all passing pairs between different components are verified. Pairs within a component
-   need no look, so a group of near copies costs about as many pairs as it has members, and no
-   link between different texts is lost.
+3. Groups meet at the prefix shingles that at least two groups hold. First every group is paired
+   with one hub per shingle, and the members of a group with one of them. Pairs pass if their
+   sizes allow it and the bitmaps of both sets differ in no more bits than two similar sets can;
+   passing pairs are verified on the sets themselves. The links give components.
+4. Then group pairs at shingles that hold several components are expanded to all their members.
+   Member pairs of different components that pass the size, position and bitmap filters are
+   verified too. Pairs within a component need no look, so a group of near copies costs about
+   as many pairs as it has members, and no link between different texts is lost.
 
-Texts are read twice for shingles and once, for candidate documents only, for verification.
+Texts are read twice for shingles; sets are made again from the texts of passing pairs only.
 
 Defined cases: null and wordless texts have 0 shingles and link with nothing; a text with fewer
 words than a shingle is one shingle; repeated rows are equal sets; a null id never names a
@@ -34,8 +34,10 @@ from wattline.llm.graph import components
 from wattline.llm.shingles import M1, M2, mixed, shingle_set
 
 WIDTH, PERCENT = 3, 90
-HEAVY, FLUSH, LOCAL = 100_000, 2_000_000, 4
+HEAVY, FLUSH, LOCAL = 300_000, 2_000_000, 3
 BLOCK, BIN_ROWS = 2048, 50_000
+# bits of the bitmap of every set, and of the second one of sets from a size on
+NARROW, WIDE, WIDE_FROM = 256, 4096, 512
 U = np.uint64
 # products of the multipliers, so that the two sums that name a set are unlike
 M11, M22 = (U(int(m) * int(m) % 2**64) for m in (M1, M2))
@@ -90,13 +92,13 @@ class Order:
 
     def __init__(self, heavy: np.ndarray):
         by_hash = np.argsort(heavy, kind="stable")
-        self.tokens, self.ranks = heavy[by_hash], by_hash + 1
+        self.tokens, self.ranks = heavy[by_hash], (by_hash + 1).astype(np.int32)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(heavy >> U(44)).astype(np.int64)] = True
 
     def prefix(self, tokens: np.ndarray, length: int) -> np.ndarray:
         """The first ``length`` of sorted ``tokens``."""
-        rank = np.zeros(len(tokens), np.int64)
+        rank = np.zeros(len(tokens), np.int32)
         if len(self.tokens):
             at = np.flatnonzero(self.maybe[(tokens >> U(44)).astype(np.int64)])
             place = np.minimum(np.searchsorted(self.tokens, tokens[at]), len(self.tokens) - 1)
@@ -122,6 +124,15 @@ SIGNED = (
 )
 
 
+def _bitmap(tokens: np.ndarray) -> bytes:
+    """Parities of the shingles that fall on each bit."""
+    found, place = b"", mixed(tokens * M2)
+    for bits in (NARROW, WIDE) if len(tokens) >= WIDE_FROM else (NARROW,):
+        odd = np.bincount((place >> U(32)).astype(np.int64) % bits, minlength=bits) & 1
+        found += np.packbits(odd.astype(np.uint8)).tobytes()
+    return found
+
+
 def signed(docs: DataFrame, order: Order, width: int, percent: int) -> DataFrame:
     """Per document: set size, two sums that name the set and its prefix, prefix, bitmap."""
 
@@ -132,11 +143,10 @@ def signed(docs: DataFrame, order: Order, width: int, percent: int) -> DataFrame
                 tokens = shingle_set(text.as_py(), width)
                 n = len(tokens)
                 prefix = order.prefix(tokens, prefix_length(n, percent)) if n else tokens
-                bits = np.bincount((mixed(tokens * M2) >> U(56)).astype(np.int64), minlength=256) & 1
                 placed = prefix + np.arange(len(prefix), dtype=U) * M1 + U(n)
                 rows.append((
                     n, _sum(tokens, M1), _sum(tokens, M11), _sum(placed, M2), _sum(placed, M22),
-                    prefix.view(np.int64), np.packbits(bits.astype(np.uint8)).tobytes(),
+                    prefix.view(np.int64), _bitmap(tokens),
                 ))
             kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.binary()]
             made = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds]
@@ -168,13 +178,10 @@ def _passing(rows: dict[str, np.ndarray], percent: int):
         keep = (own[i] != own[j]) | rows["inner"][i]
         small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
         least = needed(small + large, percent)
-        keep &= 100 * small >= percent * large
-        if "part" in rows:
-            keep &= rows["part"][i] != rows["part"][j]
-        else:
-            # holds at the first common shingle: no more than the rest of either set can follow
-            same = rows["group"][i] == rows["group"][j]
-            keep &= same | (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= least)
+        # holds at the first common shingle: no more than the rest of either set can follow
+        same = rows["group"][i] == rows["group"][j]
+        keep &= (100 * small >= percent * large) & (rows["part"][i] != rows["part"][j])
+        keep &= same | (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= least)
         i, j, most = i[keep], j[keep], (small + large - 2 * least)[keep]
         if len(i):
             apart = np.bitwise_count(rows["bits"][i] ^ rows["bits"][j]).sum(axis=1)
@@ -182,60 +189,30 @@ def _passing(rows: dict[str, np.ndarray], percent: int):
             yield i[near], j[near]
 
 
-def _columns(rows: pa.Table) -> tuple[pa.Table, dict[str, np.ndarray]]:
-    """Rows of a bin sorted by shingle, block pair, copies; as arrays."""
-    rows = rows.sort_by([
-        ("token", "ascending"), ("first", "ascending"), ("second", "ascending"),
-        ("copies", "descending"), ("sid", "ascending"),
-    ])
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.Table:
+    both = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+    both = np.unique(both, axis=0) if len(a) else both
+    return pa.table([pa.array(both[:, 0], pa.int64()), pa.array(both[:, 1], pa.int64())], ["a", "b"])
+
+
+def _cross(rows: pa.Table, percent: int) -> pa.Table:
+    """Pairs of a bin between components that pass the filters."""
+    rows = rows.sort_by([(name, "ascending") for name in ("token", "first", "second")])
     take = lambda name: rows[name].to_numpy()
     same = np.ones(rows.num_rows, bool)
     for name in ("token", "first", "second"):
         same[1:] &= take(name)[1:] == take(name)[:-1]
     same[:1] = False
-    bits = np.frombuffer(b"".join(rows["bitmap"].to_pylist()), np.uint64).reshape(-1, 4)
+    narrow = b"".join(rows["narrow"].to_pylist())
     columns = {
         "key": np.cumsum(~same), "n": take("n"), "pos": take("pos"), "own": take("own"),
-        "inner": take("first") == take("second"), "bits": bits,
-        "group": mixed(take("g1").view(U) + take("g2").view(U) * M1),
+        "inner": take("first") == take("second"), "group": take("gid"), "part": take("part"),
+        "bits": np.frombuffer(narrow, np.uint64).reshape(-1, NARROW // 64),
     }
-    return rows, columns
-
-
-def _pairs(a: np.ndarray, b: np.ndarray) -> pa.Table:
-    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-    return pa.table([pa.array(both[:, 0], pa.int64()), pa.array(both[:, 1], pa.int64())], ["a", "b"])
-
-
-def _propose(rows: pa.Table, percent: int) -> pa.Table:
-    """For every row with passing partners its first one: earlier rows before later ones."""
-    rows, columns = _columns(rows)
-    sid, none = rows["sid"].to_numpy(), np.iinfo(np.int64).max
-    earlier, later = np.full(len(sid), none), np.full(len(sid), none)
-    for i, j in _passing(columns, percent):
-        np.minimum.at(earlier, j, i)
-        np.minimum.at(later, i, j)
-    partner = np.where(earlier < none, earlier, later)
-    has = np.flatnonzero(partner < none)
-    return _pairs(sid[has], sid[partner[has]])
-
-
-def _cross(rows: pa.Table, percent: int) -> pa.Table:
-    """All passing pairs between components, each at the smallest shingle both rows have here."""
-    rows, columns = _columns(rows)
-    columns["part"] = rows["part"].to_numpy()
-    sid, token = rows["sid"].to_numpy(), rows["token"].to_numpy()
-    shared, known = rows["tokens"], {}
-    a, b = [], []
-    for i, j in _passing(columns, percent):
-        for x, y in zip(i, j):
-            for z in (x, y):
-                if z not in known:
-                    known[z] = frozenset(shared[int(z)].as_py())
-            if min(known[x] & known[y]) == token[x]:
-                a.append(sid[x])
-                b.append(sid[y])
-    return _pairs(np.array(a, np.int64), np.array(b, np.int64))
+    sid, found = take("sid"), [(np.empty(0, int), np.empty(0, int))]
+    found += _passing(columns, percent)
+    i, j = (np.concatenate(side) for side in zip(*found))
+    return _pairs(sid[i], sid[j])
 
 
 def _meetings(members: DataFrame, block: int) -> DataFrame:
@@ -261,9 +238,12 @@ def _meetings(members: DataFrame, block: int) -> DataFrame:
 
 def _needed_sets(docs: DataFrame, sets: DataFrame, sids: DataFrame, width: int) -> DataFrame:
     """(sid, tokens) of some sets, made again from one text each."""
-    wanted = sets.join(sids, "sid").select(
-        "sid", F.col("k1").alias("w1"), F.col("k2").alias("w2"), F.col("n").alias("size")
-    )
+    wanted = stored(
+        sets.join(sids, "sid").select("sid", "n", F.col("k.k1").alias("w1"), F.col("k.k2").alias("w2")),
+        "ngram-wanted",
+    ).where("n > 0")
+    # lets Spark filter the texts by the wanted keys before it shuffles them
+    docs.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
     texts = docs.select("k1", "k2", "_text").dropDuplicates(["k1", "k2"])
     found = texts.join(
         wanted.hint("shuffle_hash"), (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))
@@ -277,6 +257,33 @@ def _needed_sets(docs: DataFrame, sets: DataFrame, sids: DataFrame, width: int)
     return found.mapInArrow(make, "sid long, tokens array<long>")
 
 
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes and bitmaps leave it open that they are similar."""
+    size = sets.select("sid", "n", "bitmap")
+    both = (
+        pairs.join(size.toDF("a", "n", "x"), "a").join(size.toDF("b", "m", "y"), "b")
+        .where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+    )
+
+    def passing(batches):
+        for batch in batches:
+            total = batch["n"].to_numpy() + batch["m"].to_numpy()
+            most = total - 2 * needed(total, percent)
+            keep = [_apart(x, y) <= k for x, y, k in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), most)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(passing, "a long, b long")
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """Most bits by which the bitmaps that both sets have differ."""
+    ends = (0, NARROW // 8, (NARROW + WIDE) // 8)
+    return max(
+        (int.from_bytes(x[a:b]) ^ int.from_bytes(y[a:b])).bit_count()
+        for a, b in zip(ends, ends[1:]) if min(len(x), len(y)) >= b
+    )
+
+
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sets are similar."""
     left = tokens.toDF("a", "x")
@@ -290,6 +297,10 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+
+
 def similar_documents(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH,
     percent: int = PERCENT, heavy: int = HEAVY, block: int = BLOCK,
@@ -303,57 +314,72 @@ def similar_documents(
     )
     order = Order(heavy_shingles(keyed, width, heavy))
     rows = stored(signed(keyed, order, width, percent), "ngram-signed")
-    sets = stored(
-        rows.where("n > 0").groupBy("n", "f1", "f2").agg(
-            F.min("doc_id").alias("least"), F.count("*").alias("copies"),
-            F.min(F.struct("k1", "k2")).alias("k"), F.first("g1").alias("g1"), F.first("g2").alias("g2"),
-            F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"),
-        ).select("*", F.col("k.k1"), F.col("k.k2"), F.monotonically_increasing_id().alias("sid")).drop("k"),
-        "ngram-sets",
+    equal = rows.where("n > 0").groupBy("n", "f1", "f2").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("copies"),
+        F.min(F.struct("k1", "k2")).alias("k"), F.first("g1").alias("g1"), F.first("g2").alias("g2"),
+        F.first("bitmap").alias("bitmap"),
     )
-    groups = sets.groupBy("g1", "g2").agg(
-        F.first("n").alias("n"), F.count("*").alias("members"), F.first("prefix").alias("prefix")
+    equal = stored(equal.withColumn("sid", F.monotonically_increasing_id()), "ngram-equal")
+    groups = stored(
+        equal.groupBy("g1", "g2").agg(
+            F.count("*").alias("members"), F.min(F.struct("sid", "k")).alias("lead")
+        ).withColumn("gid", F.monotonically_increasing_id()),
+        "ngram-groups",
     )
-    postings = groups.select("g1", "g2", "n", "members", F.posexplode("prefix").alias("pos", "token"))
+    sets = stored(equal.join(groups.select("g1", "g2", "gid"), ["g1", "g2"]).drop("g1", "g2"), "ngram-sets")
+    # prefixes are long: one of each group goes on
+    prefixes = rows.where("n > 0").select("k1", "k2", "prefix").dropDuplicates(["k1", "k2"])
+    leads = groups.select(
+        F.col("lead.k.k1").alias("k1"), F.col("lead.k.k2").alias("k2"), "gid", "members"
+    )
+    prefixes = stored(prefixes.join(leads, ["k1", "k2"]).select("gid", "members", "prefix"), "ngram-prefixes")
+    postings = prefixes.select("gid", "members", F.posexplode("prefix").alias("pos", "token"))
     # members of one group meet at its first shingle, groups at any shingle of two or more
     alone = F.max(((F.col("pos") == 0) & (F.col("members") > 1)).cast("int"))
     shared = stored(
-        postings.groupBy("token").agg(F.count("*").alias("c"), alone.alias("m"))
-        .where("c > 1 or m = 1").select(F.col("token").alias("t")),
+        postings.groupBy("token").agg(F.count("*").alias("c"), alone.alias("m"), F.min("gid").alias("hub"))
+        .where("c > 1 or m = 1").select(F.col("token").alias("t"), "hub"),
         "ngram-shared",
     )
-    met = postings.join(shared, F.col("token") == F.col("t")).select("token", "pos", "g1", "g2")
-    members = stored(
-        sets.select("g1", "g2", "n", "sid", "bitmap", "copies").join(met, ["g1", "g2"]), "ngram-members"
+    met = stored(
+        postings.join(shared, F.col("token") == F.col("t")).select("token", "pos", "gid", "hub"), "ngram-met"
     )
-    proposed = stored(
-        _meetings(members, block).groupBy("bin").applyInArrow(
-            lambda t: _propose(t, percent), "a long, b long"
-        ).distinct(),
-        "ngram-proposed",
+    lead = groups.select("gid", F.col("lead.sid").alias("sid"))
+    stars = (
+        met.where("gid <> hub").select("gid", "hub").distinct()
+        .join(lead.toDF("gid", "a"), "gid").join(lead.toDF("hub", "b"), "hub").select("a", "b")
+        .unionByName(
+            sets.select("gid", F.col("sid").alias("a")).join(lead.toDF("gid", "b"), "gid")
+            .where("a <> b").select("a", "b")
+        )
     )
-    sids = proposed.select(F.col("a").alias("sid")).union(proposed.select("b")).distinct()
-    tokens = stored(_needed_sets(keyed, sets, sids, width), "ngram-tokens")
-    links = stored(_verified(proposed, tokens, percent), "ngram-links")
+    tried = stored(_near(stars, sets, percent), "ngram-tried")
+    tokens = stored(_needed_sets(keyed, sets, _members(tried), width), "ngram-tokens")
+    links = stored(_verified(tried, tokens, percent), "ngram-links")
     parts = components(links, "ngram-parts")
     placed = stored(
-        sids.join(parts, F.col("sid") == F.col("id"), "left")
-        .select("sid", F.coalesce("root", "sid").alias("part")),
+        sets.select("sid", "gid", "n", F.substring("bitmap", 1, NARROW // 8).alias("narrow"))
+        .join(parts, F.col("sid") == F.col("id"), "left")
+        .select("sid", "gid", "n", "narrow", F.coalesce("root", "sid").alias("part")),
         "ngram-placed",
     )
-    near = stored(members.join(placed, "sid"), "ngram-near")
-    split = near.groupBy(F.col("token").alias("t")).agg(
-        F.min("part").alias("low"), F.max("part").alias("high")
-    ).where("low <> high").select("t")
-    open_rows = stored(near.join(split, F.col("token") == F.col("t")).drop("t"), "ngram-open")
-    own = open_rows.groupBy(F.col("sid").alias("s")).agg(F.collect_set("token").alias("tokens"))
-    open_rows = stored(open_rows.join(own, F.col("sid") == F.col("s")).drop("s"), "ngram-open")
-    crossing = stored(
-        _meetings(open_rows, block).groupBy("bin").applyInArrow(
-            lambda t: _cross(t, percent), "a long, b long"
-        ).join(proposed, ["a", "b"], "left_anti"),
-        "ngram-crossing",
+    span = placed.groupBy("gid").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    mixed_tokens = (
+        met.join(span, "gid").groupBy(F.col("token").alias("t"))
+        .agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("t")
+    )
+    open_rows = stored(
+        met.select("token", "pos", "gid").join(mixed_tokens, F.col("token") == F.col("t")).drop("t")
+        .join(placed, "gid"),
+        "ngram-open",
     )
+    crossing = _meetings(open_rows, block).groupBy("bin").applyInArrow(
+        lambda t: _cross(t, percent), "a long, b long"
+    ).distinct()
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    crossing = stored(_near(crossing.join(known, ["a", "b"], "left_anti"), sets, percent), "ngram-crossing")
+    fresh = _members(crossing).join(tokens.select("sid"), "sid", "left_anti")
+    tokens = tokens.unionByName(stored(_needed_sets(keyed, sets, fresh, width), "ngram-tokens"))
     found = links.unionByName(_verified(crossing, tokens, percent))
     parts = components(found, "ngram-parts")
     named = stored(
