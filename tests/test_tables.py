@@ -314,6 +314,42 @@ def test_publish_only_what_passes(spark, tmp_path):
     assert marts.read_published(spark, root, "agg_daily_load").count() == 2
 
 
+def test_checked_refresh_equals_a_rebuild(spark, tmp_path):
+    raw_root, root, full = (str(tmp_path / n) for n in ("raw", "out", "full"))
+    write_raw(f.load(spark, rows_over_days(3)), schemas.LOAD, raw_root, "b1")
+    write_raw(f.generation(spark, rows_over_days(2, out_bidding_zone=None)),
+              schemas.GENERATION, raw_root, "b1")
+    write_raw(f.prices(spark, delivery(2)), schemas.PRICES, raw_root, "b1")
+    with pytest.raises(LookupError):
+        marts.refresh_and_publish(spark, raw_root, root, "r0", {"actual_load": f.load(spark, [])})
+    assert marts.build_and_publish(spark, raw_root, root, "r1")
+    late = {
+        "actual_load": f.load(spark, [{"at": 30, "revision_number": 2, "quantity": 9}]),
+        "day_ahead_prices": f.prices(spark, [
+            {**row, "source_object_name": "o2", "revision_number": 2, "price_amount": 77}
+            for row in delivery(2)[:3]
+        ]),
+    }
+    for name_, rows in late.items():
+        write_raw(rows, schemas.DATASETS[name_], raw_root, "b2")
+    assert marts.refresh_and_publish(spark, raw_root, root, "r2", late)
+    marts.build_all(spark, raw_root, full)
+    shapes = marts.mart_schemas(spark)
+    for table, layout in schemas.MART_LAYOUTS.items():
+        rebuilt = tables.read_table(spark, f"{full}/{table}", shapes[table], layout)
+        assert same(marts.read_published(spark, root, table), rebuilt), table
+    # untouched days stay where they were first written
+    held = marts.snapshot(spark, root).filter("table = 'fct_actual_load'")
+    assert held.select("folder").distinct().count() == 2
+    assert held.count() == held.select("day").distinct().count() == 3
+
+    live = marts.published_folder(spark, root)
+    worse = f.load(spark, [{"at": 30, "resolution": "PT30M", "revision_number": 3}])
+    write_raw(worse, schemas.LOAD, raw_root, "b3")
+    assert not marts.refresh_and_publish(spark, raw_root, root, "r3", {"actual_load": worse})
+    assert marts.published_folder(spark, root) == live
+
+
 def test_work_folders_lie_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "a").startswith(shared)

@@ -428,10 +428,9 @@ def _refreshed(number: int, table: str) -> Query:
     return query
 
 
-def publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publication log after a clean run and a run whose checks fail."""
-    ev = _events(spark, sf_dir)
-    # One zone column, one resolution and one document per series pass every check.
+def _clean_raw(spark: SparkSession, ev: DataFrame, load: DataFrame) -> str:
+    """RAW tables that pass every check: one zone column, one resolution, one document per
+    series."""
     clean = (
         bridge.raw_generation(ev, F.lit("PT60M"))
         .withColumn("_zone", F.coalesce("in_bidding_zone", "out_bidding_zone", F.lit("Z0")))
@@ -440,15 +439,52 @@ def publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .drop("_zone")
     )
     prices = bridge.raw_prices(ev).withColumn("document_mrid", F.col("time_series_mrid"))
-    raw_root, root = _folder(spark, "raw"), _folder(spark, "published")
-    for dataset, rows in ((schemas.LOAD, bridge.raw_load(ev)), (schemas.GENERATION, clean),
+    raw_root = _folder(spark, "raw")
+    for dataset, rows in ((schemas.LOAD, load), (schemas.GENERATION, clean),
                           (schemas.PRICES, prices)):
         sinks.write_batch(rows, raw_root, dataset.name, "b1", dataset.layout)
+    return raw_root
+
+
+def published_refresh(table: str) -> Query:
+    """A published load table after a checked refresh with the later half of the events."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ev = _events(spark, sf_dir)
+        raw_root = _clean_raw(spark, ev, bridge.raw_load(_half(ev, 0)))
+        root = _folder(spark, "published")
+        marts.build_and_publish(spark, raw_root, root, "r1")
+        late = bridge.raw_load(_half(ev, 1))
+        sinks.write_batch(late, raw_root, "actual_load", "b2", schemas.LOAD.layout)
+        marts.refresh_and_publish(spark, raw_root, root, "r2", {"actual_load": late})
+        return comparable(marts.read_published(spark, root, table))
+
+    return query
+
+
+def refused_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published daily load after a refresh whose second resolution breaks the daily grain."""
+    ev = _events(spark, sf_dir)
+    raw_root = _clean_raw(spark, ev, bridge.raw_load(ev))
+    root = _folder(spark, "published")
+    marts.build_and_publish(spark, raw_root, root, "r1")
+    late = bridge.raw_load(ev, F.lit("PT30M")).withColumn("revision_number", F.lit(9).cast("bigint"))
+    late = late.filter("position % 2 = 1")
+    sinks.write_batch(late, raw_root, "actual_load", "b2", schemas.LOAD.layout)
+    marts.refresh_and_publish(spark, raw_root, root, "r2", {"actual_load": late})
+    return comparable(marts.read_published(spark, root, "agg_daily_load"))
+
+
+def publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publication log after a clean run, a run whose checks fail, and the first name again."""
+    ev = _events(spark, sf_dir)
+    raw_root, root = _clean_raw(spark, ev, bridge.raw_load(ev)), _folder(spark, "published")
     marts.build_and_publish(spark, raw_root, root, "r1")
     sinks.write_batch(
         bridge.raw_generation(ev), raw_root, "actual_generation", "b2", schemas.GENERATION.layout
     )
     marts.build_and_publish(spark, raw_root, root, "r2")
+    marts.build_and_publish(spark, raw_root, root, "r1")
     log = marts.publication_log(spark, root)
     current = F.lit(marts.published_folder(spark, root))
     rows = marts.read_published(spark, root, "fct_generation_by_type").count()
@@ -609,6 +645,9 @@ QUERIES: dict[str, Query] = {
     "incremental_price_facts": _refreshed(2, "fct_day_ahead_prices"),
     "incremental_daily_price": _refreshed(2, "agg_daily_day_ahead_prices"),
     "publish_gate": publish_gate,
+    "publish_refresh_load_facts": published_refresh("fct_actual_load"),
+    "publish_refresh_daily_load": published_refresh("agg_daily_load"),
+    "publish_refused_refresh": refused_refresh,
     "fn_durations": durations,
     "str1_stream_load": streamed_points,
 }

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -138,19 +139,33 @@ def build_all(spark: SparkSession, raw_root: str, root: str) -> dict[str, DataFr
 
 PUBLICATION_DDL = "run string, folder string, published_at timestamp, passed boolean"
 REPORT_DDL = "model string, `check` string, violations bigint"
+SNAPSHOT_DDL = "`table` string, day string, folder string"
 
 
-def build_and_publish(spark: SparkSession, raw_root: str, root: str, run: str) -> bool:
-    """Builds a run in its own folder, checks it, and publishes it if all checks pass.
+def _attempt(root: str, run: str) -> str:
+    """Folder of one attempt at a run: a name that is used again overwrites nothing."""
+    return f"{root.rstrip('/')}/runs/{run}-{uuid.uuid4().hex}"
 
-    Publishing adds one row to a log and copies nothing, so a run that fails leaves the
-    published tables as they were. Its tables and report stay in the folder of the run.
-    Every attempt has a folder of its own: a name that is used again overwrites nothing.
-    """
-    folder = f"{root.rstrip('/')}/runs/{run}-{uuid.uuid4().hex}"
-    built = build_all(spark, raw_root, folder)
-    report = quality.quality_report(built, stored=schemas.MART_LAYOUTS)
-    report.write.mode("overwrite").parquet(f"{folder}/report")
+
+def _days_of(spark: SparkSession, folder: str, tables) -> DataFrame:
+    """(table, day, folder) of the stored tables of an attempt."""
+    shapes, parts = mart_schemas(spark), []
+    for table in tables:
+        layout = schemas.MART_LAYOUTS[table]
+        stored = sources.read_table(
+            spark, _path(folder, table), shapes[table], layout, with_day=True
+        )
+        day = F.date_format(layout.day_column, "yyyy-MM-dd").alias("day")
+        parts.append(stored.select(F.lit(table).alias("table"), day).distinct())
+    return reduce(DataFrame.unionByName, parts).withColumn("folder", F.lit(folder))
+
+
+def _conclude(
+    spark: SparkSession, root: str, run: str, folder: str, report: DataFrame, days: DataFrame
+) -> bool:
+    """Keeps report and snapshot of an attempt and logs whether its checks passed."""
+    report.write.parquet(f"{folder}/report")
+    days.coalesce(1).write.parquet(f"{folder}/snapshot")
     passed = quality.passes(spark.read.schema(REPORT_DDL).parquet(f"{folder}/report"))
     entry = spark.range(1).select(
         F.lit(run).alias("run"),
@@ -162,13 +177,94 @@ def build_and_publish(spark: SparkSession, raw_root: str, root: str, run: str) -
     return passed
 
 
+def build_and_publish(spark: SparkSession, raw_root: str, root: str, run: str) -> bool:
+    """Builds a run in a folder of its own, checks it, and publishes it if all checks pass.
+
+    Publishing adds one row to a log and copies nothing, so a run that fails leaves the
+    published tables as they were. Its tables and report stay in the folder of the attempt.
+    """
+    folder = _attempt(root, run)
+    built = build_all(spark, raw_root, folder)
+    report = quality.quality_report(built, stored=schemas.MART_LAYOUTS)
+    days = _days_of(spark, folder, schemas.MART_LAYOUTS)
+    return _conclude(spark, root, run, folder, report, days)
+
+
+def refresh_and_publish(
+    spark: SparkSession, raw_root: str, root: str, run: str, changed: dict[str, DataFrame]
+) -> bool:
+    """Rebuilds what ``changed`` RAW rows (by dataset) touch, checks it, and publishes it.
+
+    The new snapshot names the rebuilt days in the folder of this attempt and all other days
+    where they already lie, so nothing is copied and a day that lost its rows is left out.
+    Checks run over the rebuilt days; every grain holds the day, so none spans two of them.
+    """
+    if not set(changed) <= {c.dataset.name for c in CHAINS} or not changed:
+        raise ValueError(f"no changed rows of a dataset: {sorted(changed)}")
+    before = snapshot(spark, root)
+    folder, rebuilt, parts, reports = _attempt(root, run), [], [], []
+    for chain in (c for c in CHAINS if c.dataset.name in changed):
+        layout, daily_layout = (schemas.MART_LAYOUTS[t] for t in (chain.facts, chain.daily))
+        days = models.affected_days(changed[chain.dataset.name])
+        days = _listed(spark, days, "point_date")
+        raw = sources.read_raw(spark, raw_root, chain.dataset, with_day=True)
+        touched = _rows_of_days(raw, layout.day_column, _frame(spark, days, layout.day_column))
+        touched = touched.select(*chain.dataset.schema.fieldNames())
+        branch = chain.branch(touched)
+        sinks.write_table(branch[chain.facts], _path(folder, chain.facts), layout)
+        facts = sources.read_table(
+            spark, _path(folder, chain.facts), branch[chain.facts].schema, layout
+        )
+        if chain.dataset is schemas.PRICES:
+            # a delivery day is spread over several UTC days, some of which did not change
+            delivery = touched.select(F.to_date("period_end").alias("delivery_date"))
+            daily_days = _listed(spark, delivery, "delivery_date")
+            kept = before.filter((F.col("table") == chain.facts) & ~F.col("day").isin(days))
+            every = facts.unionByName(
+                _read_snapshot(spark, kept, chain.facts).select(*facts.columns)
+            )
+            of_days = _rows_of_days(
+                every.withColumn("delivery_date", F.to_date("period_end")), "delivery_date",
+                _frame(spark, daily_days, "delivery_date"),
+            ).select(*facts.columns)
+        else:
+            daily_days, of_days = days, facts
+        daily = chain.kpis(of_days)
+        sinks.write_table(daily, _path(folder, chain.daily), daily_layout)
+        stored = sources.read_table(spark, _path(folder, chain.daily), daily.schema, daily_layout)
+        rebuilt += [(chain.facts, day) for day in days] + [(chain.daily, day) for day in daily_days]
+        parts.append(_days_of(spark, folder, (chain.facts, chain.daily)))
+        reports.append(quality.quality_report(
+            {**branch, chain.facts: facts, chain.daily: stored}, stored=schemas.MART_LAYOUTS
+        ))
+    # at most one row per stored table and calendar day
+    gone = spark.createDataFrame(rebuilt, "`table` string, day string")
+    entries = reduce(
+        DataFrame.unionByName, parts, before.join(gone, ["table", "day"], "left_anti")
+    )
+    report = reduce(DataFrame.unionByName, reports)
+    return _conclude(spark, root, run, folder, report, entries)
+
+
+def _listed(spark: SparkSession, rows: DataFrame, column: str) -> list[str]:
+    """The days that occur: no more than the calendar has."""
+    day = F.date_format(column, "yyyy-MM-dd")
+    return sorted(r[0] for r in rows.select(day).distinct().collect() if r[0])
+
+
+def _frame(spark: SparkSession, days: list[str], column: str) -> DataFrame:
+    return spark.createDataFrame([(d,) for d in days], "d string").select(
+        F.to_date("d").alias(column)
+    )
+
+
 def publication_log(spark: SparkSession, root: str) -> DataFrame:
     """One row per run, also for runs that did not pass."""
     return spark.read.schema(PUBLICATION_DDL).parquet(f"{root.rstrip('/')}/publications")
 
 
 def published_folder(spark: SparkSession, root: str) -> str | None:
-    """Folder of the latest run that passed, or None."""
+    """Folder of the latest attempt that passed, or None."""
     try:
         log = publication_log(spark, root)
     except AnalysisException as error:
@@ -178,15 +274,36 @@ def published_folder(spark: SparkSession, root: str) -> str | None:
     return log.filter("passed").agg(F.max_by("folder", "published_at")).first()[0]
 
 
-def read_published(spark: SparkSession, root: str, table: str, first_day=None, last_day=None):
-    """A published table, optionally limited to a range of its days."""
+def snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """(table, day, folder) of everything that is published."""
     folder = published_folder(spark, root)
     if folder is None:
         raise LookupError(f"nothing is published below {root}")
-    return sources.read_table(
-        spark, f"{folder}/{table}", mart_schemas(spark)[table], schemas.MART_LAYOUTS[table],
-        first_day, last_day,
-    )
+    return spark.read.schema(SNAPSHOT_DDL).parquet(f"{folder}/snapshot")
+
+
+def _read_snapshot(
+    spark: SparkSession, entries: DataFrame, table: str, first_day=None, last_day=None
+) -> DataFrame:
+    """A stored table from the folders that hold its days; other days in them are not read."""
+    shape, layout = mart_schemas(spark)[table], schemas.MART_LAYOUTS[table]
+    held: dict[str, list[str]] = {}
+    for row in entries.filter(F.col("table") == table).collect():
+        held.setdefault(row.folder, []).append(row.day)
+    parts = [
+        sources.read_table(
+            spark, _path(folder, table), shape, layout, first_day, last_day, with_day=True
+        ).filter(F.col(layout.day_column).cast("string").isin(sorted(days))).select(
+            *shape.fieldNames()
+        )
+        for folder, days in sorted(held.items())
+    ]
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], shape))
+
+
+def read_published(spark: SparkSession, root: str, table: str, first_day=None, last_day=None):
+    """A published table, optionally limited to a range of its days."""
+    return _read_snapshot(spark, snapshot(spark, root), table, first_day, last_day)
 
 
 def mart_schemas(spark: SparkSession) -> dict:
