@@ -179,7 +179,6 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     workers(docs.sparkSession)
     chosen = F.broadcast(_sampled(labels, sample).withColumnRenamed("doc_id", "_id"))
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(chosen, "_id")
-    rows = rows.limit(sample)  # an id may repeat in the documents
 
     def features(batches):
         for batch in batches:
@@ -190,7 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
             )
 
     id_type = docs.schema[doc_id].dataType.simpleString()
-    read = rows.mapInArrow(features, f"_id {id_type}, quality int, x array<double>").collect()
+    found = rows.mapInArrow(features, f"_id {id_type}, quality int, x array<double>")
+    read = found.limit(sample).collect()  # an id may repeat in the documents
     read.sort(key=lambda r: (str(r["_id"]), r["quality"], r["x"]))
     x = np.array([r["x"] for r in read], np.float64).reshape(-1, N_FEATURES)
     return grow(x, np.array([r["quality"] for r in read], np.float64))
