@@ -111,8 +111,8 @@ def test_a_batch_that_broke_off_is_completed_by_running_it_again(
         else:
             write = sinks.write_batch
 
-            def write_batch(df, root, table, key, layout):
-                return broken() if table == stage else write(df, root, table, key, layout)
+            def write_batch(df, root, table, *rest):
+                return broken() if table == stage else write(df, root, table, *rest)
 
             patch.setattr(ing.sinks, "write_batch", write_batch)
         with pytest.raises(ConnectionError):
@@ -130,10 +130,10 @@ def test_another_batch_takes_the_objects_of_one_that_broke_off(spark, tmp_path,
     root, a, b = str(tmp_path), name("A", 20), name("B", 21)
     write = sinks.write_batch
 
-    def write_batch(df, folder, table, key, layout):
+    def write_batch(df, folder, table, *rest):
         if table == stage:
             raise ConnectionError("lost")
-        return write(df, folder, table, key, layout)
+        return write(df, folder, table, *rest)
 
     with monkeypatch.context() as patch:
         patch.setattr(ing.sinks, "write_batch", write_batch)

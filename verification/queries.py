@@ -285,7 +285,7 @@ def other_batch_after_a_broken_one(spark: SparkSession, sf_dir: str) -> DataFram
         documents.flatten(lost, spec), root, "actual_generation", key, schemas.GENERATION.layout
     )
     left = ingest.ledger(spark, root).withColumn("load_batch", F.lit(key))
-    sinks.write_batch(left.drop("load_batch"), root, "ledger", key, None)
+    sinks.write_batch(left.drop("load_batch"), root, "ledger", key, None, ingest.FOLDERS)
     ingest.ingest(spark, made, schemas.GENERATION, root, "x-1")
     return comparable(tables.read_raw(spark, root, schemas.GENERATION))
 

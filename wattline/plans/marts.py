@@ -125,7 +125,7 @@ def refresh_chain(
     # Delivery days whose last fact moved to another one; no more than the calendar holds.
     kept = selected.select("delivery_date").distinct()
     emptied = delivery.join(kept, "delivery_date", "left_anti").collect()
-    sinks.clear_days(daily, daily_path, daily_layout, [row[0] for row in emptied])
+    sinks.clear_days(spark, daily_path, daily_layout, [row[0] for row in emptied])
 
 
 def build_all(spark: SparkSession, raw_root: str, root: str) -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ days together, so one hot day neither sits in one task nor makes one giant file.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -41,12 +41,15 @@ def replace_days(df: DataFrame, path: str, layout: Layout) -> None:
     _writer(df, layout).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def clear_days(like: DataFrame, path: str, layout: Layout, days: Iterable[date]) -> None:
-    """Empties single days, which a replacement without rows for them cannot do."""
-    columns = [c for c in like.columns if c != layout.day_column]
+def clear_days(spark: SparkSession, path: str, layout: Layout, days: Iterable[date]) -> None:
+    """Empties days, which a replacement without rows for them cannot do.
+
+    Their folders are removed: no job runs, however many days there are.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
     for day in days:
-        empty = like.select(*columns).limit(0)
-        empty.write.mode("overwrite").parquet(f"{path}/{layout.day_column}={day.isoformat()}")
+        folder = hadoop.Path(f"{path}/{layout.day_column}={day.isoformat()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def provision(spark: SparkSession, folder: str, schema: StructType, layout: Layout) -> None:
@@ -61,10 +64,17 @@ def batch_path(root: str, table: str, batch: str) -> str:
     return f"{root.rstrip('/')}/{table}/load_batch={batch}"
 
 
-def write_batch(df: DataFrame, root: str, table: str, batch: str, layout: Layout | None) -> None:
-    """Appends a batch by writing its own folder, so writing it again changes nothing."""
+def write_batch(
+    df: DataFrame, root: str, table: str, batch: str, layout: Layout | None,
+    folders: Sequence[str] = (),
+) -> None:
+    """Appends a batch by writing its own folder, so writing it again changes nothing.
+
+    A table without a layout may be divided into ``folders`` by some of its columns.
+    """
     path = batch_path(root, table, batch)
     if layout is None:
-        df.write.mode("overwrite").parquet(path)
+        writer = df.hint("rebalance", *map(F.col, folders)) if folders else df
+        writer.write.mode("overwrite").partitionBy(*folders).parquet(path)
     else:
         write_table(df, path, layout)
