@@ -21,8 +21,8 @@ from __future__ import annotations
 import json
 import re
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,6 +35,7 @@ OUTPUTS = ("ids", "decoded")
 LEAF = 16
 PIECE = 16_384
 SPREAD = 65_536
+RUNS, PIECES_KEPT = 200_000, 60_000  # answers that a worker keeps, twice as many at most
 RUN = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 
@@ -60,31 +61,21 @@ def concatenate(left, right, symbols: str, cut: int, encode) -> list[tuple[int,
     reach = 2
     while True:
         tail, head = left[-reach:], right[:reach]
-        a = cut - sum(n for _, n in tail)
-        b = cut + sum(n for _, n in head)
+        a, b = cut - sum(n for _, n in tail), cut + sum(n for _, n in head)
         window = encode(symbols[a:b])
-        # the left part's last token ends a word that goes on, and so may the window's
-        known = _places(left[:-1][-(reach - 1):], a) if a > 0 else {}
-        first = after = place = None
-        if a == 0:
-            first, kept = 0, []
-        place = a
-        for i, (token, length) in enumerate(window[:-1]):
-            if first is not None:
-                break
-            if (at := known.get((place, token, length))) is not None:
-                first, kept = i + 1, left[: len(left) - len(tail) + at + 1]
-            place += length
-        if b == len(symbols):
-            last, after = len(window), []
-        else:
-            following, place, last = _places(head, cut), a, None
-            for i, (token, length) in enumerate(window[:-1]):
-                if place >= cut and (at := following.get((place, token, length))) is not None:
-                    last, after = i + 1, right[at + 1 :]
-                place += length
+        # the last token of the window or of the left part may wrongly end a word there
+        inner = _places(window[:-1], a)
+        first, kept, last, rest = 0, [], len(window), []
+        if a > 0:
+            known = [(inner[k], i) for k, i in _places(tail[:-1], a).items() if k in inner]
+            first = known[0][0] + 1 if known else None
+            kept = left[: len(left) - len(tail) + known[0][1] + 1] if known else []
+        if b < len(symbols):
+            known = [(inner[k], i) for k, i in _places(head, cut).items() if k in inner]
+            last = known[-1][0] + 1 if known else None
+            rest = right[known[-1][1] + 1 :] if known else []
         if first is not None and last is not None and first <= last:
-            return kept + window[first:last] + after
+            return kept + window[first:last] + rest
         reach *= 2
 
 
@@ -122,9 +113,8 @@ class Codec:
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.special_text = re.compile(f"({'|'.join(names)})") if names else None
         size = self.tokenizer.get_vocab_size()
-        self.numbers = list(range(size))  # one object per id, however often it is kept
         self.texts = [self.tokenizer.id_to_token(i) for i in range(size)]
-        self.runs, self.pieces = Recent(self._run), Recent(self._piece)
+        self.runs, self.pieces = Recent(self._run, RUNS), Recent(self._piece, PIECES_KEPT)
         self.symbols = byte_symbols()
         self.pattern = _plain_pattern(path)
 
@@ -141,34 +131,35 @@ class Codec:
                 for symbols, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal):
                     yield None, symbols
 
-    def _tokens(self, symbols: str) -> list[int]:
-        return [self.numbers[token] for token, _ in tree_tokens(symbols, self.leaf)]
+    def _piece(self, piece: str) -> bytes:
+        symbols = "".join(map(self.symbols.__getitem__, piece.encode()))
+        return _packed(i for i, _ in tree_tokens(symbols, self.leaf))
 
-    def _piece(self, piece: str) -> list[int]:
-        return self._tokens("".join(map(self.symbols.__getitem__, piece.encode())))
-
-    def _run(self, run: bytes) -> tuple[int, ...]:
+    def _run(self, run: bytes) -> bytes:
+        """Ids of a run without white space, four bytes each."""
         text = run.decode()
         if (
             self.pattern and LATIN.fullmatch(text)
             and not (self.special_text and self.special_text.search(text))
         ):
-            pieces = self.pattern.findall(text.lower())
-            return tuple(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
+            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text.lower())))
         ids: list[int] = []
         for special, symbols in self.pretokens(text):
-            ids += [special] if special is not None else self._tokens(symbols)
-        return tuple(ids)
+            ids += [special] if special is not None else [i for i, _ in tree_tokens(symbols, self.leaf)]
+        return _packed(ids)
 
-    def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        return list(chain.from_iterable(map(self.runs.__getitem__, text.encode().split())))
+    def encode(self, text: str | None) -> np.ndarray:
+        runs = (text or "").encode().split()
+        return np.frombuffer(b"".join(map(self.runs.__getitem__, runs)), np.int32)
 
     def decode(self, ids) -> str:
         return " ".join(map(self.texts.__getitem__, ids))
 
 
+def _packed(ids) -> bytes:
+    return np.fromiter(ids, np.int32).tobytes()
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -188,17 +179,6 @@ def _plain_pattern(path: str):
     return regex.compile(first["pattern"]["Regex"])
 
 
-def _answer(batch, keep: int, found, schema_names, read) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            *batch.columns[:keep],
-            pa.array(found, pa.list_(pa.int32())),
-            pa.array(map(read.decode, found), pa.string()),
-        ],
-        schema_names,
-    )
-
-
 def _pieces(read: Codec, text: str):
     """(kind, symbols): 0 whole pre-tokens, 1 a leaf of a long one, 2 its last leaf."""
     waiting, length = [], 0
@@ -297,7 +277,10 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", spread: int = S
         read = codec(vocabulary)
         for batch in batches:
             found = [read.encode(t.as_py()) for t in batch.column(keep)]
-            yield _answer(batch, keep, found, schema.names, read)
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, np.int32), *found]))
+            decoded = pa.array([read.decode(f.tolist()) for f in found], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:keep], ids, decoded], schema.names)
 
     return rows.where(~long).mapInArrow(whole, schema).unionByName(
         _spread(rows.where(long), vocabulary, schema)

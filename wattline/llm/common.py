@@ -51,9 +51,18 @@ def extended(schema: T.StructType, ddl: str) -> T.StructType:
     return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
 
 
+# Allocators of Python workers: what a batch took goes back to the system after it.
+ALLOCATORS = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": "262144",
+}
+
+
 def workers(spark: SparkSession, rows: int = 1000) -> None:
-    """Lets Python workers find this package, and bounds the rows of an Arrow batch."""
+    """Lets Python workers find this package, bounds the rows of an Arrow batch and what
+    workers hold on to."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    for name, value in ALLOCATORS.items():
+        env.setdefault(name, value)
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])

@@ -34,7 +34,7 @@ from wattline.llm.graph import components
 from wattline.llm.shingles import M1, M2, mixed, shingle_set
 
 WIDTH, PERCENT = 3, 90
-HEAVY, FLUSH, LOCAL = 300_000, 2_000_000, 3
+HEAVY, FLUSH, LOCAL = 300_000, 1_000_000, 3
 BLOCK, BIN_ROWS = 2048, 50_000
 # bits of the bitmap of every set, and of the second one of sets from a size on
 NARROW, WIDE, WIDE_FROM = 256, 4096, 512
@@ -401,3 +401,26 @@ def similar_documents(
 
 def op4_ngram_join(spark, sf_dir):
     return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP4_SQL = r"""
+with recursive d as (
+  select row_number() over () as k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select k, unnest(list_distinct(case
+    when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as g
+  from d),
+n as (select k, count(*) as n from s group by k),
+pairs as (
+  select a.k as a, b.k as b, count(*) as i from s a join s b on a.g = b.g and a.k < b.k group by a.k, b.k),
+links as (
+  select a, b from pairs join n x on x.k = a join n y on y.k = b where 100 * i >= 90 * (x.n + y.n - i)),
+ways as (select a, b from links union all select b, a from links),
+reached as (select k as a, k as b from d union select r.a, e.b from reached r join ways e on r.b = e.a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id
+from d left join n on n.k = d.k
+join (select r.a, min(x.doc_id) as component_id from reached r join d x on x.k = r.b group by r.a) c on c.a = d.k
+"""

@@ -30,6 +30,7 @@ OUTPUTS = ("n_bytes", "n_tokens", "over_limit")
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # A text falls into these chunks at places where the split pattern always ends a pre-token.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+CHUNKS, PIECES_KEPT = 250_000, 100_000  # answers that a worker keeps, twice as many at most
 # Fixed value: the split pattern itself.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -79,7 +80,7 @@ class Counter:
         special.sort(key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.symbols = byte_symbols()
-        self.chunks, self.pieces = Recent(self._chunk), Recent(self._piece)
+        self.chunks, self.pieces = Recent(self._chunk, CHUNKS), Recent(self._piece, PIECES_KEPT)
 
     def _chunk(self, chunk: str) -> int:
         if LATIN.fullmatch(chunk):

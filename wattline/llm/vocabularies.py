@@ -9,7 +9,7 @@ from functools import lru_cache
 # Fixed value: up to here character classes, normal forms and lower case are the same in this
 # Python and in the vocabularies' library.
 LATIN = re.compile("[\0-\u024f]*")
-CACHED, CACHED_LENGTH = 400_000, 64
+CACHED_LENGTH = 64
 
 
 def public_path(name: str) -> str:
@@ -34,16 +34,16 @@ def load(path: str):
 class Recent(dict):
     """Answers by text: two generations, the older one is dropped when the newer is full."""
 
-    def __init__(self, work_out):
+    def __init__(self, work_out, size: int):
         super().__init__()
-        self.work_out, self.older = work_out, {}
+        self.work_out, self.size, self.older = work_out, size, {}
 
     def __missing__(self, text):
         answer = self.older.get(text)
         if answer is None:
             answer = self.work_out(text)
         if len(text) <= CACHED_LENGTH:
-            if len(self) >= CACHED:
+            if len(self) >= self.size:
                 self.older = dict(self)
                 self.clear()
             self[text] = answer
