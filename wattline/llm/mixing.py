@@ -185,3 +185,45 @@ def op9_mixing(spark, sf_dir):
 
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP9_SQL = r"""
+with d as (
+  select doc_id, source,
+    cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
+    length(text) as chars,
+    (cast('0x' || substr(md5('17:' || coalesce(cast(doc_id as varchar), '')), 1, 13) as bigint) + 1)
+      / (power(2, 52) + 1) as u
+  from documents),
+keyed as (
+  select doc_id, source, size,
+    -ln(u) / coalesce(1 / (1 + abs(chars / greatest(size, 1) - 6)), 0.1) as key
+  from d),
+s as (select source, cast(sum(size) as bigint) as source_size from keyed group by source),
+w as (
+  select *, [1, 2, 3][1 + (row_number() over (order by source nulls last) - 1) % 3] as weight,
+    3 * source_size as most
+  from s),
+levels as (
+  select *, most / weight as ratio,
+    ((sum(source_size) over ()) - coalesce(sum(most) over (
+        order by most / weight, source nulls last rows between unbounded preceding and 1 preceding), 0))
+      / sum(weight) over (
+        order by most / weight, source nulls last rows between current row and unbounded following) as level
+  from w),
+goals as (
+  select source, source_size,
+    least(cast(most as double), weight * (
+      select arg_min(level, (ratio, coalesce(source, chr(1114111)))) from levels where level <= ratio)) as target
+  from levels),
+budgets as (
+  select *, case when source_size > 0 then least(floor(target / source_size), 3) else 0 end as epochs from goals),
+placed as (
+  select k.doc_id, k.size, b.source_size, b.target, b.epochs,
+    sum(k.size) over (partition by k.source order by k.key, k.doc_id) as reached
+  from keyed k join budgets b on k.source is not distinct from b.source)
+select doc_id, size, source_size, target,
+  cast(size * least(3, epochs
+    + case when reached - size / 2 <= target - epochs * source_size then 1 else 0 end) as bigint) as taken
+from placed
+"""

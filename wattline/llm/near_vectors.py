@@ -250,3 +250,23 @@ def near_duplicates(
 
 def op10_near_vectors(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+OP10_SQL = """
+with recursive v as (
+  select vec_id, row_number() over () as n, cast(embedding as double[]) as e,
+    embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0 as usable
+  from embeddings),
+links as (
+  select a.n as a, b.n as b from v a join v b on a.n <> b.n and len(a.e) = len(b.e)
+  where a.usable and b.usable and list_cosine_similarity(a.e, b.e) >= 0.9),
+reached as (
+  select n as a, n as b from v union select r.a, l.b from reached r join links l on r.b = l.a),
+parts as (
+  select r.a as n, min(v.vec_id) as component_id from reached r join v on r.b = v.n group by r.a)
+select v.vec_id, (select count(*) from links l where l.a = v.n) as n_links, p.component_id,
+  v.vec_id is not distinct from p.component_id as kept
+from v join parts p on v.n = p.n
+"""

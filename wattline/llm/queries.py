@@ -19,6 +19,9 @@ QUERIES = {
 
 ORACLE = {
     "op3_url_filters": url_filters.OP3_SQL,
+    "op4_ngram_join": ngram_join.OP4_SQL,
     "op5_warc": warc.OP5_SQL,
     "op6_topk": topk.OP6_SQL,
+    "op9_mixing": mixing.OP9_SQL,
+    "op10_near_vectors": near_vectors.OP10_SQL,
 }
