@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from wattline.llm.common import stored, table, workers
 
-SHARD_ROWS, LEAST_SHARDS, BLOCK_QUERIES, LEAF = 8192, 12, 8192, 64
+LEAST_SHARDS, LEAF = 12, 64
+# Rows of a shard and queries of a block: larger where there are more, so that less travels.
+LEAST_ROWS, MOST_ROWS = 8192, 131_072
 FOUND = "query long, query_id long, vec_id long, score long"
 LONG = 2**63 - 1
 
@@ -122,12 +124,15 @@ def _found(query: int, query_id: int, ids: np.ndarray, best: list) -> list[tuple
 
 def top_k(
     vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
-    vector: str = "embedding", vec_id: str = "vec_id", shard_rows: int = SHARD_ROWS,
-    block_queries: int = BLOCK_QUERIES,
+    vector: str = "embedding", vec_id: str = "vec_id", shard_rows: int | None = None,
+    block_queries: int | None = None,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best other rows for every query row."""
     workers(vectors.sparkSession)
-    shards = max(LEAST_SHARDS, -(-vectors.count() // shard_rows))
+    total = vectors.count()
+    room = min(MOST_ROWS, max(LEAST_ROWS, total // 64))
+    shard_rows, block_queries = shard_rows or room, block_queries or room
+    shards = max(LEAST_SHARDS, -(-total // shard_rows))
     rows = stored(
         vectors.where(usable(F.col(vector))).select(
             F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("vec_id"),
