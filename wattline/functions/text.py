@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 # Accepted text formats.
 _DURATION = r"^PT(?:([0-9]+)H)?(?:([0-9]+)M)?(?:([0-9]+)S)?$"
+_USUAL_TIMESTAMP = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?"
+    r"(Z|[+-][0-9]{2}:[0-9]{2})$"
+)
 _OFFSET_TIMESTAMP = (
     r"^([0-9]{4})-?([0-9]{2})-?([0-9]{2})[T ]([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?"
     r"(Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2})?)?)$"
@@ -49,7 +53,14 @@ def offset_timestamp(text: Column) -> Column:
     ahead = F.when(F.startswith(part(8), F.lit("-")), -1).otherwise(1).cast("bigint")
     valid = (hours < 24) & (minutes < 60) & (seconds < 60)
     shift = ahead * (hours * 3600 + minutes * 60 + seconds)
-    return F.when(text.rlike(_OFFSET_TIMESTAMP) & valid, later(local, -shift, F.lit(1).cast("bigint")))
+    unusual = later(local, -shift, F.lit(1).cast("bigint"))
+    # Nearly all timestamps are written out; those need no taking apart.
+    usual = F.regexp_replace(
+        F.translate(text, ",", "."), r"^(.{10}).([0-9]{2}:[0-9]{2})(Z|[+-].*)$", "$1T$2:00$3"
+    ).try_cast("timestamp")
+    return F.when(text.rlike(_USUAL_TIMESTAMP), usual).when(
+        text.rlike(_OFFSET_TIMESTAMP) & valid, unusual
+    )
 
 
 def duration_seconds(text: Column) -> Column:

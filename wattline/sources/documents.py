@@ -236,31 +236,37 @@ def _children(array: Column) -> Column:
 
 
 def _typed_series(spec: DocumentSpec, document: Column) -> Column:
+    def point(q: Column) -> Column:
+        return F.struct(*_typed(spec.point, q))
+
     def period(p: Column) -> Column:
         interval = _first(F.coalesce(*[p[name] for name in spec.intervals]))
         resolution = _first(p["resolution"])
-        start = text.offset_timestamp(_first(interval["start"]))
-        seconds = text.duration_seconds(resolution)
-
-        def point(q: Column) -> Column:
-            position = _value(_POSITION, q)
-            steps = F.try_subtract(position, F.lit(1).cast("bigint"))
-            return F.struct(
-                *_typed(spec.point, q), text.later(start, steps, seconds).alias("instant")
-            )
-
         return F.struct(
-            start.alias("period_start"),
+            text.offset_timestamp(_first(interval["start"])).alias("period_start"),
             text.offset_timestamp(_first(interval["end"])).alias("period_end"),
             resolution.alias("resolution"),
-            seconds.alias("resolution_seconds"),
+            text.duration_seconds(resolution).alias("resolution_seconds"),
             F.transform(_children(p["Point"]), point).alias("points"),
         )
 
+    def timed(p: Column) -> Column:
+        """The period with the instants of its points; start and step are read only once."""
+
+        def instant(q: Column) -> Column:
+            steps = F.try_subtract(q["position"], F.lit(1).cast("bigint"))
+            at = text.later(p["period_start"], steps, p["resolution_seconds"])
+            return F.struct(*[q[f.column].alias(f.column) for f in spec.point], at.alias("instant"))
+
+        names = ("period_start", "period_end", "resolution", "resolution_seconds")
+        return F.struct(
+            *[p[n].alias(n) for n in names], F.transform(p["points"], instant).alias("points")
+        )
+
     def series(s: Column) -> Column:
         return F.struct(
             *_typed(spec.series, s),
-            F.transform(_children(s["Period"]), period).alias("periods"),
+            F.transform(F.transform(_children(s["Period"]), period), timed).alias("periods"),
         )
 
     return F.transform(_children(document["TimeSeries"]), series)
