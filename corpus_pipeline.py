@@ -1,8 +1,8 @@
 """A corpus pipeline of four operators; every stage is written as Parquet and read again.
 
 1. quality: documents that the classifier rejects go.
-2. near_duplicates: of every group of documents linked by shared word shingles one stays, the
-   one with the smallest id.
+2. near_duplicates: of every group of documents linked by shared shingles of five words
+   (Jaccard index 0.8 or more) one stays, the one with the smallest id.
 3. mixing: every document occurs as often as the mix holds it; documents it leaves out go.
 4. encoding: token ids of the mix, as digests.
 
@@ -21,6 +21,8 @@ from wattline.llm.common import others, stored, table
 from wattline.llm.vocabularies import public_path
 
 ORACLE_SQL = None
+# near duplicates of the stage; op4 has values of its own
+WIDTH, PERCENT = 5, 80
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without an id cannot be told apart by one: they all stay.
     """
-    joined = ngram_join.similar_documents(docs)
+    joined = ngram_join.similar_documents(docs, width=WIDTH, percent=PERCENT)
     keep = joined.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
     copies = named.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id")
