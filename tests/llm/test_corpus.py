@@ -1,9 +1,14 @@
 """Stages of the corpus pipeline against plain versions."""
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from wattline.llm import mixing
 from wattline.llm.common import table
 
 from . import frames
+from .test_text import plain_order_selection
 
 
 def plain_kept(rows, width=5, percent=80):
@@ -29,3 +34,18 @@ def test_near_duplicates_share_five_words(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     kept = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()]
     assert sorted(kept) == plain_kept(docs.collect())
+
+
+@pytest.mark.parametrize("weight", [1.0, 0.1, 0.02, 1e-6])
+def test_buckets_of_keys_stay_small_for_any_weight(spark, weight):
+    keys = spark.range(20_000).select(mixing.sample_key(F.col("id"), F.lit(weight), 17).alias("key"))
+    found = keys.select("key", mixing._bucket(F.col("key")).alias("bucket")).orderBy("key").collect()
+    buckets = [r.bucket for r in found]
+    assert buckets == sorted(buckets)
+    assert max(map(buckets.count, set(buckets))) <= 30
+
+
+def test_mixing_of_long_words_follows_the_keys(spark):
+    rows = [(i, "x" * (2000 + 37 * (i % 50)) + " y" * (i % 3), f"s{i % 2}") for i in range(300)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id: r.copies for r in found} == plain_order_selection(found)

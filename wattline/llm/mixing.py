@@ -7,7 +7,7 @@ with the smallest keys ``-ln(u) / weight`` (Efraimidis and Spirakis), in key ord
 the budget reaches.
 
 The order within a source is never built in one task. Keys fall into buckets that keep their
-order; bucket sums say in which bucket the budget of a source ends, and only rows of that
+order and stay small for any weights; bucket sums say in which bucket the budget of a source ends, and only rows of that
 bucket are sorted. ``u`` comes from the document id, so reruns agree.
 
 Defined cases: a null text has no words, null is a source of its own and comes last, rows with
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from wattline.llm.common import n_words, others, stored
 
 OUTPUTS = ("size", "source_size", "target", "copies", "taken")
-BUCKETS = 4096
+# buckets for a factor of e between keys
+BUCKETS = 2048
 
 
 def word_length_weight(text: Column, size: Column) -> Column:
@@ -40,8 +41,9 @@ def sample_key(doc_id: Column, weight: Column, seed: int) -> Column:
 
 
 def _bucket(key: Column) -> Column:
-    share = 1 - F.exp(-key)
-    return F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    """Equal steps of ln(key). A weight only shifts ln(key), so whatever the weights, a bucket
+    holds no more than 1 / (e * BUCKETS) of a source on average."""
+    return F.floor(F.log(F.greatest(key, F.lit(1e-300))) * BUCKETS).cast("int")
 
 
 def targets(sources: DataFrame, shares: tuple[int, ...], cap: int) -> DataFrame:
