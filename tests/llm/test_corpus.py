@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wattline.llm import mixing
+from wattline.llm import mixing, ngram_join
 from wattline.llm.common import table
 
 from . import frames
@@ -49,3 +49,11 @@ def test_mixing_of_long_words_follows_the_keys(spark):
     rows = [(i, "x" * (2000 + 37 * (i % 50)) + " y" * (i % 3), f"s{i % 2}") for i in range(300)]
     found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert {r.doc_id: r.copies for r in found} == plain_order_selection(found)
+
+
+def test_bins_hold_the_copies_of_crowded_shingles(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BIN_ROWS", 1000)
+    members = spark.range(600).select(F.lit(7).cast("long").alias("token"), F.col("id").alias("sid"))
+    sizes = [r["count"] for r in ngram_join._meetings(members, 2).groupBy("bin").count().collect()]
+    assert sum(sizes) == 600 * 300 and max(sizes) <= 3000
+    assert ngram_join._meetings(members.where("false"), 2).count() == 0

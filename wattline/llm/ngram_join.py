@@ -218,10 +218,13 @@ def _cross(rows: pa.Table, percent: int) -> pa.Table:
 def _meetings(members: DataFrame, block: int) -> DataFrame:
     """Members of each shingle dealt to bins; those of a crowded shingle in pairs of blocks."""
     spark = members.sparkSession
-    crowded = members.groupBy(F.col("token").alias("t")).agg(
-        F.ceil(F.count("*") / block).cast("int").alias("blocks")
-    ).where("blocks > 1")
-    bins = max(partitions(spark), members.count() // BIN_ROWS)
+    counted = members.groupBy(F.col("token").alias("t")).agg(
+        F.count("*").alias("held"), F.ceil(F.count("*") / block).cast("int").alias("blocks")
+    )
+    crowded = counted.where("blocks > 1").select("t", "blocks")
+    # every member is copied once per block of its shingle
+    copies = counted.agg(F.sum(F.col("held") * F.col("blocks"))).first()[0] or 0
+    bins = max(partitions(spark), copies // BIN_ROWS)
     return (
         members.join(crowded, F.col("token") == F.col("t"), "left")
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
