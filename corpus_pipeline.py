@@ -35,16 +35,23 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: its smallest id. Of repeated rows one row stays.
 
-    Rows without an id cannot be told apart by one: they all stay.
+    Rows that share an id but not the text are decided each by its own text; those that are
+    linked collapse. Rows without an id cannot be told apart by one: they all stay.
     """
-    joined = ngram_join.similar_documents(docs, width=WIDTH, percent=PERCENT)
-    keep = joined.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-    copies = named.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id")
+    joined = ngram_join.similar_documents(docs, width=WIDTH, percent=PERCENT, keys=True)
+    wordless = F.when(F.col("part").isNull(), F.struct("k1", "k2"))
+    keep = stored(
+        joined.where("doc_id = component_id").groupBy("doc_id", "k1", "k2", "part").agg(F.count("*").alias("n"))
+        .groupBy("doc_id", "part", wordless.alias("own")).agg(F.min(F.struct("k1", "k2", "n")).alias("row"))
+        .select(F.col("row.k1").alias("_k1"), F.col("row.k2").alias("_k2"), F.col("row.n").alias("_n")),
+        "pipeline-keep",
+    )
+    k1, k2 = ngram_join.row_key(F.col("doc_id").cast("long"), F.col("text"))
+    named = docs.where("doc_id is not null").withColumn("_k1", k1).withColumn("_k2", k2)
     rest = others(docs, ("doc_id",))
-    once = named.join(copies, "doc_id", "left_anti").unionByName(
-        named.join(copies, "doc_id", "left_semi")
-        .groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select("doc_id", "_row.*")
+    once = named.join(keep.where("_n = 1"), ["_k1", "_k2"], "left_semi").select(*others(docs, ())).unionByName(
+        named.join(keep.where("_n > 1"), ["_k1", "_k2"], "left_semi")
+        .groupBy("_k1", "_k2", "doc_id").agg(F.min(F.struct(*rest)).alias("_picked")).select("doc_id", "_picked.*")
     )
     return once.unionByName(docs.where("doc_id is null")).select(*others(docs, ()))
 

@@ -57,3 +57,18 @@ def test_bins_hold_the_copies_of_crowded_shingles(spark, monkeypatch):
     sizes = [r["count"] for r in ngram_join._meetings(members, 2).groupBy("bin").count().collect()]
     assert sum(sizes) == 600 * 300 and max(sizes) <= 3000
     assert ngram_join._meetings(members.where("false"), 2).count() == 0
+
+
+def test_rows_that_share_an_id_are_decided_by_their_texts(spark, sf_dir):
+    base = [f"a{k}" for k in range(60)]
+    near = base[:30] + ["changed"] + base[31:]
+    far = [f"z{k}" for k in range(60)]
+    rows = [(1, base), (5, far), (5, near), (7, ["same"]), (7, ["same"]), (9, ["one"]), (9, ["two"]), (3, []), (3, [])]
+    own = [f"l{k}" for k in range(60)]
+    rows += [(8, own), (8, own[:30] + ["changed"] + own[31:]), (None, ["same"])]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in rows], "doc_id long, text string")
+    kept = [(r.doc_id, r.text.split()) for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()]
+    assert sorted((i, w) for i, w in kept if i not in (8, None)) == [
+        (1, base), (3, []), (5, far), (7, ["same"]), (9, ["one"]), (9, ["two"]),
+    ]
+    assert [i for i, _ in kept].count(8) == 1 and (None, ["same"]) in kept

@@ -304,15 +304,25 @@ def _members(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
 
 
+def row_key(doc_id, text):
+    """Two hashes that name a row by id and text."""
+    return F.xxhash64(doc_id, text), F.hash(doc_id, text)
+
+
 def similar_documents(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH,
-    percent: int = PERCENT, heavy: int = HEAVY, block: int = BLOCK,
+    percent: int = PERCENT, heavy: int = HEAVY, block: int = BLOCK, keys: bool = False,
 ) -> DataFrame:
-    """doc_id, n_shingles and component_id for every row."""
+    """doc_id, n_shingles and component_id for every row.
+
+    With ``keys`` also k1 and k2 (``row_key``), and part, a number of the component: null
+    without shingles.
+    """
     workers(docs.sparkSession)
     key = F.col(doc_id).cast("long")
+    k1, k2 = row_key(key, F.col(text))
     keyed = docs.select(
-        F.xxhash64(key, F.col(text)).alias("k1"), F.hash(key, F.col(text)).alias("k2"),
+        k1.alias("k1"), k2.alias("k2"),
         key.alias("doc_id"), F.col(text).alias("_text"),
     )
     order = Order(heavy_shingles(keyed, width, heavy))
@@ -391,13 +401,14 @@ def similar_documents(
         "ngram-named",
     )
     names = named.groupBy(F.col("part").alias("p")).agg(F.min("least").alias("component_id"))
-    answers = named.join(names, F.col("part") == F.col("p")).select("n", "f1", "f2", "component_id")
+    answers = named.join(names, F.col("part") == F.col("p")).select("n", "f1", "f2", "component_id", "part")
+    more = ("k1", "k2", "part") if keys else ()
     return (
-        rows.where("n > 0").select("doc_id", "n", "f1", "f2").join(answers, ["n", "f1", "f2"])
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        rows.where("n > 0").select("k1", "k2", "doc_id", "n", "f1", "f2").join(answers, ["n", "f1", "f2"])
+        .select("doc_id", F.col("n").alias("n_shingles"), "component_id", *more)
         .unionByName(
-            rows.where("n = 0")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+            rows.where("n = 0").withColumn("part", F.lit(None).cast("long"))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *more)
         )
     )
 
