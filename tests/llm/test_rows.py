@@ -272,7 +272,7 @@ def test_pipeline_stages(spark, sf_dir):
     rows = docs.collect()
     forest = quality.fit(docs, labels)
     kept = [r for r in rows if walk(forest, quality.statistics(r.text)) >= quality.CUT]
-    least = {i: c for i, _, c in plain_join(kept)}
+    least = {i: c for i, _, c in plain_join(kept, corpus_pipeline.WIDTH, corpus_pipeline.PERCENT)}
     unique = [r for r in kept if least[str(r.doc_id)] == str(r.doc_id)]
     now = docs
     for name, stage in corpus_pipeline.STAGES[:2]:

@@ -195,8 +195,8 @@ def test_mixing_follows_the_keys(spark):
     assert {r.doc_id: r.copies for r in rows if r.size} == {r.doc_id: copies[r.doc_id] for r in rows if r.size}
 
 
-def plain_join(rows, percent=90):
-    sets = [frames.shingles(r.text) for r in rows]
+def plain_join(rows, width=3, percent=90):
+    sets = [frames.shingles(r.text, width) for r in rows]
     holders = defaultdict(list)
     for i, s in enumerate(sets):
         for x in s:
@@ -226,7 +226,7 @@ def _shift():
 def test_ngram_join_lower_limit_and_empty(spark):
     docs = frames.made_docs(spark, 200, seed=8)
     found = ngram_join.similar_documents(docs, percent=70, block=32).collect()
-    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == plain_join(docs.collect(), 70)
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == plain_join(docs.collect(), percent=70)
     assert ngram_join.similar_documents(frames.empty_docs(spark)).count() == 0
 
 
