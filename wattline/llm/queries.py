@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from wattline.llm import bpe, mixing, near_vectors, ngram_join, quality, sharding, token_counts, topk, url_filters, warc
+from wattline.llm import (
+    bpe,
+    filter_audit,
+    fingerprints,
+    mixing,
+    near_vectors,
+    ngram_join,
+    quality,
+    sharding,
+    spelling,
+    token_counts,
+    topk,
+    url_filters,
+    warc,
+)
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_mixing": mixing.op9_mixing,
     "op10_near_vectors": near_vectors.op10_near_vectors,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_fingerprints": fingerprints.op13_fingerprints,
 }
 
 ORACLE = {
@@ -24,4 +41,5 @@ ORACLE = {
     "op6_topk": topk.OP6_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_near_vectors": near_vectors.OP10_SQL,
+    "op12_filter_audit": filter_audit.OP12_SQL,
 }
