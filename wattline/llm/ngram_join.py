@@ -1,20 +1,25 @@
 """Jaccard join of documents on word shingles: a grouped prefix join.
 
-1. Shingles that repeat most within stretches of the corpus are counted over all documents; the
-   ``heavy`` most frequent go last in the global order of shingles, the others are ordered by
-   hash. Any order is right, this one keeps common passages out of prefixes.
-2. A set's prefix is as many of its first shingles as two similar sets cannot both do without.
-   Equal sets become one row. Sets with equal prefix and size become one group.
-3. Groups meet at the prefix shingles that at least two groups hold. First every group is paired
-   with one hub per shingle, and the members of a group with one of them. Pairs pass if their
+1. Shingles are ordered by hash. A set's prefix is as many of its first shingles as two similar
+   sets cannot both do without; it is kept together with a third more shingles that follow.
+   Equal sets become one row. Sets with equal kept shingles and size become one group.
+2. Kept shingles are counted over the groups. A shingle that more than ``crowd`` groups hold is
+   crowded (a passage that many documents share, or a large group of near copies).
+3. Crowded shingles go last in a second order. A group with a whole prefix of other shingles
+   among its kept ones is light, the others are dense. Two light groups need to meet at other
+   shingles only, by the second order; pairs with a dense group meet by the first order, where
+   light groups take part with their crowded shingles. Both orders are complete, so no link is
+   lost, and a passage makes no pairs among documents that have enough else.
+4. Groups meet at prefix shingles that at least two groups hold. First every group is paired
+   with three hubs per shingle, and the members of a group with one of them. Pairs pass if their
    sizes allow it and the bitmaps of both sets differ in no more bits than two similar sets can;
    passing pairs are verified on the sets themselves. The links give components.
-4. Then group pairs at shingles that hold several components are expanded to all their members.
+5. Then group pairs at shingles that hold several components are expanded to all their members.
    Member pairs of different components that pass the size, position and bitmap filters are
    verified too. Pairs within a component need no look, so a group of near copies costs about
    as many pairs as it has members, and no link between different texts is lost.
 
-Texts are read twice for shingles; sets are made again from the texts of passing pairs only.
+Texts are read once for all sets; sets are made again from the texts of passing pairs only.
 
 Defined cases: null and wordless texts have 0 shingles and link with nothing; a text with fewer
 words than a shingle is one shingle; repeated rows are equal sets; a null id never names a
@@ -26,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.llm.common import partitions, stored, table, workers
@@ -34,10 +39,9 @@ from wattline.llm.graph import components
 from wattline.llm.shingles import M1, M2, mixed, shingle_set
 
 WIDTH, PERCENT = 3, 90
-HEAVY, FLUSH, LOCAL = 300_000, 1_000_000, 3
-BLOCK, BIN_ROWS = 2048, 50_000
+CROWD, BLOCK, BIN_ROWS = 32, 2048, 50_000
 # bits of the bitmap of every set, and of the second one of sets from a size on
-NARROW, WIDE, WIDE_FROM = 256, 4096, 512
+NARROW, WIDE = 256, ((512, 4096), (128, 1024))
 U = np.uint64
 # products of the multipliers, so that the two sums that name a set are unlike
 M11, M22 = (U(int(m) * int(m) % 2**64) for m in (M1, M2))
@@ -52,62 +56,10 @@ def needed(both, percent: int):
     return -(-percent * both // (100 + percent))
 
 
-def heavy_shingles(docs: DataFrame, width: int, heavy: int) -> np.ndarray:
-    """The most frequent shingles, rarest first.
-
-    A task counts the documents that hold each shingle, a bounded number of shingles at a time,
-    and reports those it met ``LOCAL`` times or more; the reports of all tasks are added up.
-    """
-
-    def count(batches):
-        waiting, size = [], 0
-
-        def report():
-            token, n = np.unique(np.concatenate(waiting), return_counts=True)
-            often = n >= LOCAL
-            return pa.RecordBatch.from_arrays(
-                [pa.array(token[often].view(np.int64)), pa.array(n[often])], ["token", "n"]
-            )
-
-        for batch in batches:
-            for text in batch["_text"]:
-                found = shingle_set(text.as_py(), width)
-                waiting.append(found)
-                size += len(found)
-                if size >= FLUSH:
-                    yield report()
-                    waiting, size = [], 0
-        if waiting:
-            yield report()
-
-    counted = docs.select("_text").mapInArrow(count, "token long, n long").groupBy("token").agg(
-        F.sum("n").alias("n")
-    ).where(F.col("n") >= 2 * LOCAL)
-    most = counted.orderBy(F.desc("n"), "token").limit(heavy).toArrow()
-    return most["token"].to_numpy().view(U)[::-1]
-
-
-class Order:
-    """Global order of shingles: by hash, heavy ones last."""
-
-    def __init__(self, heavy: np.ndarray):
-        by_hash = np.argsort(heavy, kind="stable")
-        self.tokens, self.ranks = heavy[by_hash], (by_hash + 1).astype(np.int32)
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(heavy >> U(44)).astype(np.int64)] = True
-
-    def prefix(self, tokens: np.ndarray, length: int) -> np.ndarray:
-        """The first ``length`` of sorted ``tokens``."""
-        rank = np.zeros(len(tokens), np.int32)
-        if len(self.tokens):
-            at = np.flatnonzero(self.maybe[(tokens >> U(44)).astype(np.int64)])
-            place = np.minimum(np.searchsorted(self.tokens, tokens[at]), len(self.tokens) - 1)
-            rank[at] = np.where(self.tokens[place] == tokens[at], self.ranks[place], 0)
-        light = tokens[rank == 0]
-        if len(light) >= length:
-            return light[:length]
-        dark = np.flatnonzero(rank)
-        return np.concatenate([light, tokens[dark[np.argsort(rank[dark])]]])[:length]
+def kept_length(n: int, percent: int) -> int:
+    """Shingles that are kept: the prefix and a third more, so that crowded ones can be left out."""
+    prefix = prefix_length(n, percent)
+    return min(n, prefix + prefix // 3 + 4)
 
 
 def _sum(x: np.ndarray, factor) -> int:
@@ -127,14 +79,14 @@ SIGNED = (
 def _bitmap(tokens: np.ndarray) -> bytes:
     """Parities of the shingles that fall on each bit."""
     found, place = b"", mixed(tokens * M2)
-    for bits in (NARROW, WIDE) if len(tokens) >= WIDE_FROM else (NARROW,):
+    for bits in (NARROW, *[bits for size, bits in WIDE if len(tokens) >= size][:1]):
         odd = np.bincount((place >> U(32)).astype(np.int64) % bits, minlength=bits) & 1
         found += np.packbits(odd.astype(np.uint8)).tobytes()
     return found
 
 
-def signed(docs: DataFrame, order: Order, width: int, percent: int) -> DataFrame:
-    """Per document: set size, two sums that name the set and its prefix, prefix, bitmap."""
+def signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per document: set size, two sums that name the set and its kept shingles, these, bitmap."""
 
     def sign(batches):
         for batch in batches:
@@ -142,7 +94,7 @@ def signed(docs: DataFrame, order: Order, width: int, percent: int) -> DataFrame
             for text in batch["_text"]:
                 tokens = shingle_set(text.as_py(), width)
                 n = len(tokens)
-                prefix = order.prefix(tokens, prefix_length(n, percent)) if n else tokens
+                prefix = tokens[: kept_length(n, percent)]
                 placed = prefix + np.arange(len(prefix), dtype=U) * M1 + U(n)
                 rows.append((
                     n, _sum(tokens, M1), _sum(tokens, M11), _sum(placed, M2), _sum(placed, M22),
@@ -180,6 +132,7 @@ def _passing(rows: dict[str, np.ndarray], percent: int):
         least = needed(small + large, percent)
         # holds at the first common shingle: no more than the rest of either set can follow
         same = rows["group"][i] == rows["group"][j]
+        keep &= same | ~rows["crowded"][i] | rows["dense"][i] | rows["dense"][j]
         keep &= (100 * small >= percent * large) & (rows["part"][i] != rows["part"][j])
         keep &= same | (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= least)
         i, j, most = i[keep], j[keep], (small + large - 2 * least)[keep]
@@ -207,6 +160,7 @@ def _cross(rows: pa.Table, percent: int) -> pa.Table:
     columns = {
         "key": np.cumsum(~same), "n": take("n"), "pos": take("pos"), "own": take("own"),
         "inner": take("first") == take("second"), "group": take("gid"), "part": take("part"),
+        "crowded": take("crowded").astype(bool), "dense": take("dense").astype(bool),
         "bits": np.frombuffer(narrow, np.uint64).reshape(-1, NARROW // 64),
     }
     sid, found = take("sid"), [(np.empty(0, int), np.empty(0, int))]
@@ -278,13 +232,20 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(passing, "a long, b long")
 
 
+def _folded(bitmap: bytes, size: int) -> int:
+    """A bitmap of fewer bytes: parities of places that fall together."""
+    whole = 0
+    for at in range(0, len(bitmap), size):
+        whole ^= int.from_bytes(bitmap[at : at + size])
+    return whole
+
+
 def _apart(x: bytes, y: bytes) -> int:
     """Most bits by which the bitmaps that both sets have differ."""
-    ends = (0, NARROW // 8, (NARROW + WIDE) // 8)
-    return max(
-        (int.from_bytes(x[a:b]) ^ int.from_bytes(y[a:b])).bit_count()
-        for a, b in zip(ends, ends[1:]) if min(len(x), len(y)) >= b
-    )
+    cut = NARROW // 8
+    most = (int.from_bytes(x[:cut]) ^ int.from_bytes(y[:cut])).bit_count()
+    size = min(len(x), len(y)) - cut
+    return max(most, (_folded(x[cut:], size) ^ _folded(y[cut:], size)).bit_count()) if size else most
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -309,9 +270,31 @@ def row_key(doc_id, text):
     return F.xxhash64(doc_id, text), F.hash(doc_id, text)
 
 
+def _placed_postings(postings: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Postings by which groups meet: (token, pos, gid, hubs, crowded, dense).
+
+    ``postings`` (gid, n, kept, pos, token) hold all kept shingles, ``shared`` those that groups
+    share. ``pos`` counts the uncrowded shingles before one, a bound of its place in both orders.
+    """
+    of_group = Window.partitionBy("gid")
+    earlier = of_group.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.col("n")
+    prefix = n - F.ceil(percent * n / 100) + 1
+    crowded = F.col("crowded").cast("int")
+    met = (
+        postings.join(shared, F.col("token") == F.col("t"))
+        .withColumn("rank", F.col("pos") - F.coalesce(F.sum(crowded).over(earlier), F.lit(0)))
+        .withColumn("dense", F.col("kept") - F.sum(crowded).over(of_group) < prefix)
+    )
+    by_first, by_second = F.col("pos") < prefix, ~F.col("crowded") & (F.col("rank") < prefix)
+    return met.where(F.when(F.col("dense") | F.col("crowded"), by_first).otherwise(by_second)).select(
+        "token", F.col("rank").alias("pos"), "gid", "hubs", "crowded", "dense"
+    )
+
+
 def similar_documents(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH,
-    percent: int = PERCENT, heavy: int = HEAVY, block: int = BLOCK, keys: bool = False,
+    percent: int = PERCENT, crowd: int = CROWD, block: int = BLOCK, keys: bool = False,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id for every row.
 
@@ -325,8 +308,7 @@ def similar_documents(
         k1.alias("k1"), k2.alias("k2"),
         key.alias("doc_id"), F.col(text).alias("_text"),
     )
-    order = Order(heavy_shingles(keyed, width, heavy))
-    rows = stored(signed(keyed, order, width, percent), "ngram-signed")
+    rows = stored(signed(keyed, width, percent), "ngram-signed")
     equal = rows.where("n > 0").groupBy("n", "f1", "f2").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("copies"),
         F.min(F.struct("k1", "k2")).alias("k"), F.first("g1").alias("g1"), F.first("g2").alias("g2"),
@@ -335,7 +317,7 @@ def similar_documents(
     equal = stored(equal.withColumn("sid", F.monotonically_increasing_id()), "ngram-equal")
     groups = stored(
         equal.groupBy("g1", "g2").agg(
-            F.count("*").alias("members"), F.min(F.struct("sid", "k")).alias("lead")
+            F.count("*").alias("members"), F.min(F.struct("sid", "k")).alias("lead"), F.first("n").alias("n")
         ).withColumn("gid", F.monotonically_increasing_id()),
         "ngram-groups",
     )
@@ -343,28 +325,30 @@ def similar_documents(
     # prefixes are long: one of each group goes on
     prefixes = rows.where("n > 0").select("k1", "k2", "prefix").dropDuplicates(["k1", "k2"])
     leads = groups.select(
-        F.col("lead.k.k1").alias("k1"), F.col("lead.k.k2").alias("k2"), "gid", "members"
+        F.col("lead.k.k1").alias("k1"), F.col("lead.k.k2").alias("k2"), "gid", "members", "n"
+    )
+    prefixes = stored(prefixes.join(leads, ["k1", "k2"]).select("gid", "members", "n", "prefix"), "ngram-prefixes")
+    postings = prefixes.select(
+        "gid", "members", "n", F.size("prefix").alias("kept"), F.posexplode("prefix").alias("pos", "token")
     )
-    prefixes = stored(prefixes.join(leads, ["k1", "k2"]).select("gid", "members", "prefix"), "ngram-prefixes")
-    postings = prefixes.select("gid", "members", F.posexplode("prefix").alias("pos", "token"))
     # members of one group meet at its first shingle, groups at any shingle of two or more
     alone = F.max(((F.col("pos") == 0) & (F.col("members") > 1)).cast("int"))
+    hubs = F.array_distinct(F.array(F.min("gid"), F.max("gid"), F.min_by("gid", F.xxhash64("gid"))))
     shared = stored(
-        postings.groupBy("token").agg(F.count("*").alias("c"), alone.alias("m"), F.min("gid").alias("hub"))
-        .where("c > 1 or m = 1").select(F.col("token").alias("t"), "hub"),
+        postings.groupBy("token").agg(F.count("*").alias("c"), alone.alias("m"), hubs.alias("hubs"))
+        .where("c > 1 or m = 1").select(F.col("token").alias("t"), "hubs", (F.col("c") > crowd).alias("crowded")),
         "ngram-shared",
     )
-    met = stored(
-        postings.join(shared, F.col("token") == F.col("t")).select("token", "pos", "gid", "hub"), "ngram-met"
-    )
+    met = stored(_placed_postings(postings.drop("members"), shared, percent), "ngram-met")
     lead = groups.select("gid", F.col("lead.sid").alias("sid"))
     stars = (
-        met.where("gid <> hub").select("gid", "hub").distinct()
+        met.where("not crowded or dense").select("gid", F.explode("hubs").alias("hub")).where("gid <> hub").distinct()
         .join(lead.toDF("gid", "a"), "gid").join(lead.toDF("hub", "b"), "hub").select("a", "b")
         .unionByName(
             sets.select("gid", F.col("sid").alias("a")).join(lead.toDF("gid", "b"), "gid")
             .where("a <> b").select("a", "b")
         )
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
     tried = stored(_near(stars, sets, percent), "ngram-tried")
     tokens = stored(_needed_sets(keyed, sets, _members(tried), width), "ngram-tokens")
@@ -379,18 +363,21 @@ def similar_documents(
     span = placed.groupBy("gid").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     mixed_tokens = (
         met.join(span, "gid").groupBy(F.col("token").alias("t"))
-        .agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("t")
+        .agg(
+            F.min("low").alias("low"), F.max("high").alias("high"),
+            # light groups meet each other elsewhere; members of a group meet at its first shingle
+            F.max(~F.col("crowded") | F.col("dense") | (F.col("low") < F.col("high"))).alias("of_use"),
+        )
+        .where("low <> high and of_use").select("t")
     )
     open_rows = stored(
-        met.select("token", "pos", "gid").join(mixed_tokens, F.col("token") == F.col("t")).drop("t")
-        .join(placed, "gid"),
+        met.drop("hubs").join(mixed_tokens, F.col("token") == F.col("t")).drop("t").join(placed, "gid"),
         "ngram-open",
     )
     crossing = _meetings(open_rows, block).groupBy("bin").applyInArrow(
         lambda t: _cross(t, percent), "a long, b long"
     ).distinct()
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crossing = stored(_near(crossing.join(known, ["a", "b"], "left_anti"), sets, percent), "ngram-crossing")
+    crossing = stored(_near(crossing.join(tried, ["a", "b"], "left_anti"), sets, percent), "ngram-crossing")
     fresh = _members(crossing).join(tokens.select("sid"), "sid", "left_anti")
     tokens = tokens.unionByName(stored(_needed_sets(keyed, sets, fresh, width), "ngram-tokens"))
     found = links.unionByName(_verified(crossing, tokens, percent))
