@@ -210,10 +210,10 @@ def plain_join(rows, width=3, percent=90):
     return sorted((str(r.doc_id), len(s), str(c)) for r, s, c in zip(rows, sets, least))
 
 
-@pytest.mark.parametrize("block,crowd", [(2048, 100_000), (2048, 32), (16, 3), (16, 1)])
-def test_ngram_join(spark, block, crowd):
+@pytest.mark.parametrize("block,heavy,crowd", [(2048, 100_000, 10_000), (2048, 0, 32), (16, 10, 3), (16, 0, 1)])
+def test_ngram_join(spark, block, heavy, crowd):
     docs = frames.made_docs(spark, 400).unionByName(frames.awkward_docs(spark).withColumn("doc_id", _shift()))
-    found = ngram_join.similar_documents(docs, block=block, crowd=crowd).collect()
+    found = ngram_join.similar_documents(docs, block=block, heavy=heavy, crowd=crowd).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == plain_join(docs.collect())
 
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wattline.llm.common import stored
 
 
-def _state(edges: DataFrame) -> tuple:
-    """What tells two edge sets apart: their number, and hashes of all edges folded by xor,
-    which cannot overflow however many there are."""
+def _written(edges: DataFrame, label: str) -> tuple[DataFrame, tuple]:
+    """Stored edges, and what tells two edge sets apart: their number, and hashes of all edges
+    folded by xor, which cannot overflow. Both are gathered while the edges are written."""
+    seen = Observation()
     marks = (F.xxhash64("a", "b"), F.xxhash64("b", "a"))
-    return tuple(edges.agg(F.count("*"), *(F.bit_xor(mark) for mark in marks)).first())
+    folded = (F.bit_xor(mark).alias(f"mark{i}") for i, mark in enumerate(marks))
+    written = stored(edges.observe(seen, F.count("*").alias("n"), *folded), label)
+    return written, (seen.get["n"], seen.get["mark0"], seen.get["mark1"])
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -24,12 +27,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     vertices. Minima are combined before they are shuffled, and the joins have one row per
     vertex on one side, so that hubs can be split. Every round is written to the shared folder.
     """
-    now = stored(
+    now, state = _written(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         label,
     )
-    state = _state(now)
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
@@ -44,7 +46,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             .unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
             .distinct()
         )
-        now = stored(small, label)
-        before, state = state, _state(now)
+        before = state
+        now, state = _written(small, label)
         if state == before:
             return now.select(F.col("a").alias("id"), F.col("b").alias("root"))

@@ -1,17 +1,19 @@
 """Jaccard join of documents on word shingles: a grouped prefix join.
 
-1. Shingles are ordered by hash. A set's prefix is as many of its first shingles as two similar
-   sets cannot both do without; it is kept together with a third more shingles that follow.
-   Equal sets become one row. Sets with equal kept shingles and size become one group.
-2. Kept shingles are counted over the groups. A shingle that more than ``crowd`` groups hold is
-   crowded (a passage that many documents share, or a large group of near copies).
+1. Shingles that repeat within stretches of the corpus are counted over all documents; the
+   ``heavy`` most frequent go last in the order of shingles, the others are ordered by hash. A
+   set's prefix is as many of its first shingles as two similar sets cannot both do without; it
+   is kept together with a third more shingles that follow. Equal sets become one row. Sets with
+   equal kept shingles and size become one group.
+2. Kept shingles are counted exactly, over the groups. A shingle that more than ``crowd`` groups
+   hold is crowded (a passage that documents far apart share, or a group of near copies).
 3. Crowded shingles go last in a second order. A group with a whole prefix of other shingles
    among its kept ones is light, the others are dense. Two light groups need to meet at other
    shingles only, by the second order; pairs with a dense group meet by the first order, where
    light groups take part with their crowded shingles. Both orders are complete, so no link is
    lost, and a passage makes no pairs among documents that have enough else.
 4. Groups meet at prefix shingles that at least two groups hold. First every group is paired
-   with three hubs per shingle, and the members of a group with one of them. Pairs pass if their
+   with up to ``HUBS`` of a shingle's groups, and the members of a group with one of them. Pairs pass if their
    sizes allow it and the bitmaps of both sets differ in no more bits than two similar sets can;
    passing pairs are verified on the sets themselves. The links give components.
 5. Then group pairs at shingles that hold several components are expanded to all their members.
@@ -19,7 +21,7 @@
    verified too. Pairs within a component need no look, so a group of near copies costs about
    as many pairs as it has members, and no link between different texts is lost.
 
-Texts are read once for all sets; sets are made again from the texts of passing pairs only.
+Texts are read twice for shingles; sets are made again from the texts of passing pairs only.
 
 Defined cases: null and wordless texts have 0 shingles and link with nothing; a text with fewer
 words than a shingle is one shingle; repeated rows are equal sets; a null id never names a
@@ -39,7 +41,8 @@ from wattline.llm.graph import components
 from wattline.llm.shingles import M1, M2, mixed, shingle_set
 
 WIDTH, PERCENT = 3, 90
-CROWD, BLOCK, BIN_ROWS = 32, 2048, 50_000
+HEAVY, FLUSH, LOCAL = 300_000, 4_000_000, 2
+CROWD, HUBS, BLOCK, BIN_ROWS = 32, 8, 2048, 50_000
 # bits of the bitmap of every set, and of the second one of sets from a size on
 NARROW, WIDE = 256, ((512, 4096), (128, 1024))
 U = np.uint64
@@ -62,6 +65,64 @@ def kept_length(n: int, percent: int) -> int:
     return min(n, prefix + prefix // 3 + 4)
 
 
+def heavy_shingles(docs: DataFrame, width: int, heavy: int) -> np.ndarray:
+    """The most frequent shingles, rarest first.
+
+    A task counts the documents that hold each shingle, a bounded number of shingles at a time,
+    and reports those it met ``LOCAL`` times or more; the reports of all tasks are added up.
+    """
+
+    def count(batches):
+        waiting, size = [], 0
+
+        def report():
+            token, n = np.unique(np.concatenate(waiting), return_counts=True)
+            often = n >= LOCAL
+            return pa.RecordBatch.from_arrays(
+                [pa.array(token[often].view(np.int64)), pa.array(n[often])], ["token", "n"]
+            )
+
+        for batch in batches:
+            for text in batch["_text"]:
+                found = shingle_set(text.as_py(), width)
+                waiting.append(found)
+                size += len(found)
+                if size >= FLUSH:
+                    yield report()
+                    waiting, size = [], 0
+        if waiting:
+            yield report()
+
+    counted = docs.select("_text").mapInArrow(count, "token long, n long").groupBy("token").agg(
+        F.sum("n").alias("n")
+    ).where(F.col("n") >= 2 * LOCAL)
+    most = counted.orderBy(F.desc("n"), "token").limit(heavy).toArrow()
+    return most["token"].to_numpy().view(U)[::-1]
+
+
+class Order:
+    """Global order of shingles: by hash, heavy ones last."""
+
+    def __init__(self, heavy: np.ndarray):
+        by_hash = np.argsort(heavy, kind="stable")
+        self.tokens, self.ranks = heavy[by_hash], (by_hash + 1).astype(np.int32)
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(heavy >> U(44)).astype(np.int64)] = True
+
+    def prefix(self, tokens: np.ndarray, length: int) -> np.ndarray:
+        """The first ``length`` of sorted ``tokens``."""
+        rank = np.zeros(len(tokens), np.int32)
+        if len(self.tokens):
+            at = np.flatnonzero(self.maybe[(tokens >> U(44)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(self.tokens, tokens[at]), len(self.tokens) - 1)
+            rank[at] = np.where(self.tokens[place] == tokens[at], self.ranks[place], 0)
+        light = tokens[rank == 0]
+        if len(light) >= length:
+            return light[:length]
+        dark = np.flatnonzero(rank)
+        return np.concatenate([light, tokens[dark[np.argsort(rank[dark])]]])[:length]
+
+
 def _sum(x: np.ndarray, factor) -> int:
     return int(mixed(x * factor).sum(dtype=U).view(np.int64)) if len(x) else 0
 
@@ -85,7 +146,7 @@ def _bitmap(tokens: np.ndarray) -> bytes:
     return found
 
 
-def signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def signed(docs: DataFrame, order: Order, width: int, percent: int) -> DataFrame:
     """Per document: set size, two sums that name the set and its kept shingles, these, bitmap."""
 
     def sign(batches):
@@ -94,7 +155,7 @@ def signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for text in batch["_text"]:
                 tokens = shingle_set(text.as_py(), width)
                 n = len(tokens)
-                prefix = tokens[: kept_length(n, percent)]
+                prefix = order.prefix(tokens, kept_length(n, percent)) if n else tokens
                 placed = prefix + np.arange(len(prefix), dtype=U) * M1 + U(n)
                 rows.append((
                     n, _sum(tokens, M1), _sum(tokens, M11), _sum(placed, M2), _sum(placed, M22),
@@ -294,7 +355,7 @@ def _placed_postings(postings: DataFrame, shared: DataFrame, percent: int) -> Da
 
 def similar_documents(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH,
-    percent: int = PERCENT, crowd: int = CROWD, block: int = BLOCK, keys: bool = False,
+    percent: int = PERCENT, heavy: int = HEAVY, crowd: int = CROWD, block: int = BLOCK, keys: bool = False,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id for every row.
 
@@ -308,7 +369,8 @@ def similar_documents(
         k1.alias("k1"), k2.alias("k2"),
         key.alias("doc_id"), F.col(text).alias("_text"),
     )
-    rows = stored(signed(keyed, width, percent), "ngram-signed")
+    order = Order(heavy_shingles(keyed, width, heavy))
+    rows = stored(signed(keyed, order, width, percent), "ngram-signed")
     equal = rows.where("n > 0").groupBy("n", "f1", "f2").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("copies"),
         F.min(F.struct("k1", "k2")).alias("k"), F.first("g1").alias("g1"), F.first("g2").alias("g2"),
@@ -333,7 +395,7 @@ def similar_documents(
     )
     # members of one group meet at its first shingle, groups at any shingle of two or more
     alone = F.max(((F.col("pos") == 0) & (F.col("members") > 1)).cast("int"))
-    hubs = F.array_distinct(F.array(F.min("gid"), F.max("gid"), F.min_by("gid", F.xxhash64("gid"))))
+    hubs = F.array_distinct(F.array(*(F.min_by("gid", F.xxhash64("gid", F.lit(i))) for i in range(HUBS))))
     shared = stored(
         postings.groupBy("token").agg(F.count("*").alias("c"), alone.alias("m"), hubs.alias("hubs"))
         .where("c > 1 or m = 1").select(F.col("token").alias("t"), "hubs", (F.col("c") > crowd).alias("crowded")),
