@@ -350,6 +350,51 @@ def test_checked_refresh_equals_a_rebuild(spark, tmp_path):
     assert marts.published_folder(spark, root) == live
 
 
+def test_published_table_is_one_scan_and_folds(spark, tmp_path):
+    raw_root, root, full = (str(tmp_path / n) for n in ("raw", "out", "full"))
+    write_raw(f.load(spark, rows_over_days(5)), schemas.LOAD, raw_root, "b0")
+    write_raw(f.generation(spark, rows_over_days(1, out_bidding_zone=None)),
+              schemas.GENERATION, raw_root, "b0")
+    write_raw(f.prices(spark, delivery(1)), schemas.PRICES, raw_root, "b0")
+    days = [f"2026-08-{d}" for d in range(20, 25)]
+    assert marts.build_and_publish(spark, raw_root, root, "r0")
+
+    def scans():
+        plan = marts.read_published(spark, root, "fct_actual_load")._jdf.queryExecution()
+        return plan.sparkPlan().toString().count("FileScan")
+
+    for k in range(1, 5):
+        late = f.load(spark, [{"at": 24 * k - 19, "revision_number": 2, "quantity": 50 + k}])
+        write_raw(late, schemas.LOAD, raw_root, f"b{k}")
+        assert marts.refresh_and_publish(spark, raw_root, root, f"r{k}", {"actual_load": late})
+        assert scans() == 1
+    marts.build_all(spark, raw_root, full)
+    shapes = marts.mart_schemas(spark)
+
+    def same_as_rebuilt():
+        for table in ("fct_actual_load", "agg_daily_load"):
+            layout = schemas.MART_LAYOUTS[table]
+            rebuilt = tables.read_table(spark, f"{full}/{table}", shapes[table], layout)
+            assert same(marts.read_published(spark, root, table), rebuilt), table
+        two = marts.read_published(spark, root, "fct_actual_load", days[1], days[2])
+        found = two.select(F.to_date("point_timestamp").cast("string")).distinct().collect()
+        assert {r[0] for r in found} == set(days[1:3])
+
+    same_as_rebuilt()
+    def attempts():
+        held = marts.snapshot(spark, root).filter("table = 'agg_daily_load'")
+        return held.select("folder").distinct().count()
+
+    assert attempts() == 5
+    assert marts.fold_published(spark, root, "folded")
+    assert attempts() == 1
+    same_as_rebuilt()
+    assert scans() == 1
+    assert not marts.fold_published(spark, root, "again")
+    with pytest.raises(ValueError):
+        marts.build_and_publish(spark, raw_root, root, "a/b")
+
+
 def test_work_folders_lie_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "a").startswith(shared)

@@ -462,6 +462,21 @@ def published_refresh(table: str) -> Query:
     return query
 
 
+def folded_refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published daily load after two refreshes whose attempts were then folded into one."""
+    ev = _events(spark, sf_dir)
+    raw_root = _clean_raw(spark, ev, bridge.raw_load(_half(ev, 0)))
+    root = _folder(spark, "published")
+    marts.build_and_publish(spark, raw_root, root, "r1")
+    late = bridge.raw_load(_half(ev, 1))
+    first = F.pmod(F.dayofyear("point_timestamp"), F.lit(2)) == 0
+    for run, rows in (("r2", late.filter(first)), ("r3", late.filter(~first))):
+        sinks.write_batch(rows, raw_root, "actual_load", run, schemas.LOAD.layout)
+        marts.refresh_and_publish(spark, raw_root, root, run, {"actual_load": rows})
+    marts.fold_published(spark, root, "folded", min_days=1000)
+    return comparable(marts.read_published(spark, root, "agg_daily_load"))
+
+
 def refused_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published daily load after a refresh whose second resolution breaks the daily grain."""
     ev = _events(spark, sf_dir)
@@ -647,6 +662,7 @@ QUERIES: dict[str, Query] = {
     "publish_gate": publish_gate,
     "publish_refresh_load_facts": published_refresh("fct_actual_load"),
     "publish_refresh_daily_load": published_refresh("agg_daily_load"),
+    "publish_folded_daily_load": folded_refreshes,
     "publish_refused_refresh": refused_refresh,
     "fn_durations": durations,
     "str1_stream_load": streamed_points,

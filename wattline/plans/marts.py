@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline import schemas
 from wattline.plans import models, quality
@@ -56,15 +57,19 @@ CHAINS = (
 )
 
 
-def _path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{table}"
+def _path(root: str, table: str, attempt: str | None = None) -> str:
+    """Folder of a stored table, or of what one attempt at a published run holds of it."""
+    path = f"{root.rstrip('/')}/{table}"
+    return path if attempt is None else f"{path}/attempt={attempt}"
 
 
-def build_chain(spark: SparkSession, raw: DataFrame, chain: Chain, root: str) -> dict:
+def build_chain(
+    spark: SparkSession, raw: DataFrame, chain: Chain, root: str, attempt: str | None = None
+) -> dict:
     """Stores facts and KPIs of one dataset below ``root``; returns all its models."""
 
     def stored(df: DataFrame, table: str) -> DataFrame:
-        path, layout = _path(root, table), schemas.MART_LAYOUTS[table]
+        path, layout = _path(root, table, attempt), schemas.MART_LAYOUTS[table]
         sinks.write_table(df, path, layout)
         return sources.read_table(spark, path, df.schema, layout)
 
@@ -128,12 +133,14 @@ def refresh_chain(
     sinks.clear_days(spark, daily_path, daily_layout, [row[0] for row in emptied])
 
 
-def build_all(spark: SparkSession, raw_root: str, root: str) -> dict[str, DataFrame]:
+def build_all(
+    spark: SparkSession, raw_root: str, root: str, attempt: str | None = None
+) -> dict[str, DataFrame]:
     """Full rebuild of all stored tables; returns all fourteen models."""
     built: dict[str, DataFrame] = {}
     for chain in CHAINS:
         raw = sources.read_raw(spark, raw_root, chain.dataset)
-        built.update(build_chain(spark, raw, chain, root))
+        built.update(build_chain(spark, raw, chain, root, attempt))
     return built
 
 
@@ -143,17 +150,31 @@ SNAPSHOT_DDL = "`table` string, day string, folder string"
 
 
 def _attempt(root: str, run: str) -> str:
-    """Folder of one attempt at a run: a name that is used again overwrites nothing."""
+    """Folder of one attempt at a run: a name that is used again overwrites nothing.
+
+    It holds report and snapshot. What the attempt wrote of a table lies with the table, in a
+    partition named after the attempt, so that a published table is read by one scan however
+    many attempts hold its days.
+    """
+    if set("/=") & set(run):
+        raise ValueError(f"{run}: a run name becomes part of a folder name")
     return f"{root.rstrip('/')}/runs/{run}-{uuid.uuid4().hex}"
 
 
+def _tables(folder: str) -> tuple[str, str]:
+    """Where the tables lie that the attempt of a folder belongs to, and its name there."""
+    root, name = folder.rsplit("/runs/", 1)
+    return f"{root}/tables", name
+
+
 def _days_of(spark: SparkSession, folder: str, tables) -> DataFrame:
     """(table, day, folder) of the stored tables of an attempt."""
     shapes, parts = mart_schemas(spark), []
+    root, attempt = _tables(folder)
     for table in tables:
         layout = schemas.MART_LAYOUTS[table]
         stored = sources.read_table(
-            spark, _path(folder, table), shapes[table], layout, with_day=True
+            spark, _path(root, table, attempt), shapes[table], layout, with_day=True
         )
         day = F.date_format(layout.day_column, "yyyy-MM-dd").alias("day")
         parts.append(stored.select(F.lit(table).alias("table"), day).distinct())
@@ -184,7 +205,7 @@ def build_and_publish(spark: SparkSession, raw_root: str, root: str, run: str) -
     published tables as they were. Its tables and report stay in the folder of the attempt.
     """
     folder = _attempt(root, run)
-    built = build_all(spark, raw_root, folder)
+    built = build_all(spark, raw_root, *_tables(folder))
     report = quality.quality_report(built, stored=schemas.MART_LAYOUTS)
     days = _days_of(spark, folder, schemas.MART_LAYOUTS)
     return _conclude(spark, root, run, folder, report, days)
@@ -203,6 +224,7 @@ def refresh_and_publish(
         raise ValueError(f"no changed rows of a dataset: {sorted(changed)}")
     before = snapshot(spark, root)
     folder, rebuilt, parts, reports = _attempt(root, run), [], [], []
+    tables, attempt = _tables(folder)
     for chain in (c for c in CHAINS if c.dataset.name in changed):
         layout, daily_layout = (schemas.MART_LAYOUTS[t] for t in (chain.facts, chain.daily))
         days = models.affected_days(changed[chain.dataset.name])
@@ -211,10 +233,9 @@ def refresh_and_publish(
         touched = _rows_of_days(raw, layout.day_column, _frame(spark, days, layout.day_column))
         touched = touched.select(*chain.dataset.schema.fieldNames())
         branch = chain.branch(touched)
-        sinks.write_table(branch[chain.facts], _path(folder, chain.facts), layout)
-        facts = sources.read_table(
-            spark, _path(folder, chain.facts), branch[chain.facts].schema, layout
-        )
+        facts_path, daily_path = (_path(tables, t, attempt) for t in (chain.facts, chain.daily))
+        sinks.write_table(branch[chain.facts], facts_path, layout)
+        facts = sources.read_table(spark, facts_path, branch[chain.facts].schema, layout)
         if chain.dataset is schemas.PRICES:
             # a delivery day is spread over several UTC days, some of which did not change
             delivery = touched.select(F.to_date("period_end").alias("delivery_date"))
@@ -230,8 +251,8 @@ def refresh_and_publish(
         else:
             daily_days, of_days = days, facts
         daily = chain.kpis(of_days)
-        sinks.write_table(daily, _path(folder, chain.daily), daily_layout)
-        stored = sources.read_table(spark, _path(folder, chain.daily), daily.schema, daily_layout)
+        sinks.write_table(daily, daily_path, daily_layout)
+        stored = sources.read_table(spark, daily_path, daily.schema, daily_layout)
         rebuilt += [(chain.facts, day) for day in days] + [(chain.daily, day) for day in daily_days]
         parts.append(_days_of(spark, folder, (chain.facts, chain.daily)))
         reports.append(quality.quality_report(
@@ -285,20 +306,64 @@ def snapshot(spark: SparkSession, root: str) -> DataFrame:
 def _read_snapshot(
     spark: SparkSession, entries: DataFrame, table: str, first_day=None, last_day=None
 ) -> DataFrame:
-    """A stored table from the folders that hold its days; other days in them are not read."""
+    """A stored table from the folders that hold its days, as one scan.
+
+    The folder of every published day is listed by name; there are no more than the calendar
+    has. Attempt and day are partitions below the table, so the plan is the same for a table
+    that one rebuild wrote and for one that a thousand refreshes wrote.
+    """
     shape, layout = mart_schemas(spark)[table], schemas.MART_LAYOUTS[table]
-    held: dict[str, list[str]] = {}
-    for row in entries.filter(F.col("table") == table).collect():
-        held.setdefault(row.folder, []).append(row.day)
-    parts = [
-        sources.read_table(
-            spark, _path(folder, table), shape, layout, first_day, last_day, with_day=True
-        ).filter(F.col(layout.day_column).cast("string").isin(sorted(days))).select(
-            *shape.fieldNames()
+    held = entries.filter(F.col("table") == table)
+    if first_day is not None:
+        held = held.filter(F.col("day") >= str(first_day))
+    if last_day is not None:
+        held = held.filter(F.col("day") <= str(last_day))
+    places = [(_tables(row.folder), row.day) for row in held.select("folder", "day").collect()]
+    if not places:
+        return spark.createDataFrame([], shape)
+    day = layout.day_column
+    extra = [] if day in shape.fieldNames() else [T.StructField(day, T.DateType())]
+    full = T.StructType([*shape.fields, *extra, T.StructField("attempt", T.StringType())])
+    root = _path(places[0][0][0], table)
+    leaves = sorted(f"{_path(at, table, attempt)}/{day}={value}" for (at, attempt), value in places)
+    stored = spark.read.schema(full).option("basePath", root).parquet(*leaves)
+    return stored.select(*shape.fieldNames())
+
+
+def fold_published(spark: SparkSession, root: str, run: str, min_days: int = 31) -> bool:
+    """Rewrites published days that lie scattered over small attempts into one attempt.
+
+    An attempt is small for a table if it holds fewer than ``min_days`` of its published days.
+    The new snapshot names the folded days in the new attempt and all others where they lie, so
+    readers see the same rows before and after. The report of the last published run goes with
+    them. Returns whether there was anything to fold; attempts that no snapshot names can then
+    be deleted.
+    """
+    before, folder = snapshot(spark, root), _attempt(root, run)
+    tables, attempt = _tables(folder)
+    # one row per stored table and calendar day at most
+    by_attempt: dict[tuple[str, str], list[str]] = {}
+    for row in before.collect():
+        by_attempt.setdefault((row.table, row.folder), []).append(row.day)
+    moved = []
+    for table in sorted({name for name, _ in by_attempt}):
+        small = [k for k, days in by_attempt.items() if k[0] == table and len(days) < min_days]
+        if len(small) < 2:
+            continue
+        moved += [(table, day) for key in small for day in by_attempt[key]]
+        entries = before.filter(F.col("folder").isin([old for _, old in small]))
+        sinks.write_table(
+            _read_snapshot(spark, entries, table), _path(tables, table, attempt),
+            schemas.MART_LAYOUTS[table],
         )
-        for folder, days in sorted(held.items())
-    ]
-    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], shape))
+    if not moved:
+        return False
+    gone = spark.createDataFrame(moved, "`table` string, day string")
+    entries = before.join(gone, ["table", "day"], "left_anti").unionByName(
+        gone.withColumn("folder", F.lit(folder))
+    )
+    report = spark.read.schema(REPORT_DDL).parquet(f"{published_folder(spark, root)}/report")
+    return _conclude(spark, root, run, folder, report, entries)
 
 
 def read_published(spark: SparkSession, root: str, table: str, first_day=None, last_day=None):
