@@ -331,25 +331,37 @@ def row_key(doc_id, text):
     return F.xxhash64(doc_id, text), F.hash(doc_id, text)
 
 
-def _placed_postings(postings: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """Postings by which groups meet: (token, pos, gid, hubs, crowded, dense).
+def _placed_postings(met: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Postings by which groups meet: (token, pos, gid, crowded, dense).
 
-    ``postings`` (gid, n, kept, pos, token) hold all kept shingles, ``shared`` those that groups
-    share. ``pos`` counts the uncrowded shingles before one, a bound of its place in both orders.
+    ``met`` (gid, pos, token, crowded) holds the kept shingles that groups share. ``pos`` then
+    counts the uncrowded shingles before one, a bound of its place in both orders.
     """
     of_group = Window.partitionBy("gid")
     earlier = of_group.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     n = F.col("n")
     prefix = n - F.ceil(percent * n / 100) + 1
+    kept = F.least(n, prefix + F.floor(prefix / 3) + 4)
     crowded = F.col("crowded").cast("int")
-    met = (
-        postings.join(shared, F.col("token") == F.col("t"))
+    placed = (
+        met.join(groups.select("gid", "n"), "gid")
         .withColumn("rank", F.col("pos") - F.coalesce(F.sum(crowded).over(earlier), F.lit(0)))
-        .withColumn("dense", F.col("kept") - F.sum(crowded).over(of_group) < prefix)
+        .withColumn("dense", kept - F.sum(crowded).over(of_group) < prefix)
     )
     by_first, by_second = F.col("pos") < prefix, ~F.col("crowded") & (F.col("rank") < prefix)
-    return met.where(F.when(F.col("dense") | F.col("crowded"), by_first).otherwise(by_second)).select(
-        "token", F.col("rank").alias("pos"), "gid", "hubs", "crowded", "dense"
+    return placed.where(F.when(F.col("dense") | F.col("crowded"), by_first).otherwise(by_second)).select(
+        "token", F.col("rank").alias("pos"), "gid", "crowded", "dense"
+    )
+
+
+def _stars(met: DataFrame) -> DataFrame:
+    """(gid, hub): every group with the hubs of its shingles. Light groups skip crowded ones."""
+    of_use = met.where("not crowded or dense").select("token", "gid")
+    least = (F.min_by("gid", F.xxhash64("gid", F.lit(i))) for i in range(HUBS))
+    hubs = of_use.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("c"), F.array(*least).alias("hubs")).where("c > 1")
+    return (
+        of_use.join(hubs, F.col("token") == F.col("t"))
+        .select("gid", F.explode(F.array_distinct("hubs")).alias("hub")).where("gid <> hub").distinct()
     )
 
 
@@ -379,7 +391,7 @@ def similar_documents(
     equal = stored(equal.withColumn("sid", F.monotonically_increasing_id()), "ngram-equal")
     groups = stored(
         equal.groupBy("g1", "g2").agg(
-            F.count("*").alias("members"), F.min(F.struct("sid", "k")).alias("lead"), F.first("n").alias("n")
+            F.count("*").alias("members"), F.min(F.struct("sid", "k")).alias("lead"), F.min("n").alias("n")
         ).withColumn("gid", F.monotonically_increasing_id()),
         "ngram-groups",
     )
@@ -387,24 +399,22 @@ def similar_documents(
     # prefixes are long: one of each group goes on
     prefixes = rows.where("n > 0").select("k1", "k2", "prefix").dropDuplicates(["k1", "k2"])
     leads = groups.select(
-        F.col("lead.k.k1").alias("k1"), F.col("lead.k.k2").alias("k2"), "gid", "members", "n"
-    )
-    prefixes = stored(prefixes.join(leads, ["k1", "k2"]).select("gid", "members", "n", "prefix"), "ngram-prefixes")
-    postings = prefixes.select(
-        "gid", "members", "n", F.size("prefix").alias("kept"), F.posexplode("prefix").alias("pos", "token")
+        F.col("lead.k.k1").alias("k1"), F.col("lead.k.k2").alias("k2"), "gid", "members"
     )
+    prefixes = stored(prefixes.join(leads, ["k1", "k2"]).select("gid", "members", "prefix"), "ngram-prefixes")
+    postings = prefixes.select("gid", "members", F.posexplode("prefix").alias("pos", "token"))
     # members of one group meet at its first shingle, groups at any shingle of two or more
     alone = F.max(((F.col("pos") == 0) & (F.col("members") > 1)).cast("int"))
-    hubs = F.array_distinct(F.array(*(F.min_by("gid", F.xxhash64("gid", F.lit(i))) for i in range(HUBS))))
     shared = stored(
-        postings.groupBy("token").agg(F.count("*").alias("c"), alone.alias("m"), hubs.alias("hubs"))
-        .where("c > 1 or m = 1").select(F.col("token").alias("t"), "hubs", (F.col("c") > crowd).alias("crowded")),
+        postings.groupBy("token").agg(F.count("*").alias("c"), alone.alias("m"))
+        .where("c > 1 or m = 1").select(F.col("token").alias("t"), (F.col("c") > crowd).alias("crowded")),
         "ngram-shared",
     )
-    met = stored(_placed_postings(postings.drop("members"), shared, percent), "ngram-met")
+    met = postings.select("gid", "pos", "token").join(shared, F.col("token") == F.col("t")).drop("t")
+    met = stored(_placed_postings(met, groups, percent), "ngram-met")
     lead = groups.select("gid", F.col("lead.sid").alias("sid"))
     stars = (
-        met.where("not crowded or dense").select("gid", F.explode("hubs").alias("hub")).where("gid <> hub").distinct()
+        _stars(met)
         .join(lead.toDF("gid", "a"), "gid").join(lead.toDF("hub", "b"), "hub").select("a", "b")
         .unionByName(
             sets.select("gid", F.col("sid").alias("a")).join(lead.toDF("gid", "b"), "gid")
@@ -433,7 +443,7 @@ def similar_documents(
         .where("low <> high and of_use").select("t")
     )
     open_rows = stored(
-        met.drop("hubs").join(mixed_tokens, F.col("token") == F.col("t")).drop("t").join(placed, "gid"),
+        met.join(mixed_tokens, F.col("token") == F.col("t")).drop("t").join(placed, "gid"),
         "ngram-open",
     )
     crossing = _meetings(open_rows, block).groupBy("bin").applyInArrow(
