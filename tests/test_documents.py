@@ -144,15 +144,97 @@ def test_values_out_of_range_reject_their_document_only(spark):
     assert {r.source_object_name for r in points(spark, d.LOAD, *texts)} == {"o4"}
 
 
+def named(encoding):
+    return x.load().replace('encoding="UTF-8"', f'encoding="{encoding}"' if encoding else "")
+
+
 def test_encodings(spark):
-    long = x.load().replace('encoding="UTF-8"', " " * 300 + 'encoding="ISO-8859-1"')
+    cases = [
+        ("ISO-8859-1", "latin-1", "Ä"), ("iso-8859-2", "iso8859-2", "Ł"), ("ISO8859-15", "iso8859-15", "€"),
+        ("windows-1252", "cp1252", "€"), ("CP1250", "cp1250", "ž"), ("windows-1251", "cp1251", "Ж"),
+        ("UTF-8", "utf-8-sig", "Ł"), ("UTF-16", "utf-16", "Ł😀"), ("", "utf-16", "Ł"),
+        ("UTF-16BE", "utf-16-be", "😀Ł"), ("utf-16le", "utf-16-le", "\ud7ff\ue000😀😀"),
+        ("", "utf-16-be", "€"),
+    ]
+    marks = [mark + "A03" + mark for _, _, mark in cases]
+    texts = [named(e).replace("A03", m).encode(c) for (e, c, _), m in zip(cases, marks)]
+    assert errors(spark, d.LOAD, *texts) == {}
+    rows = points(spark, d.LOAD, *texts)
+    assert {(r.source_object_name, r.curve_type) for r in rows} == {
+        (f"o{i}", m) for i, m in enumerate(marks)
+    }
+
+
+def test_long_declarations_and_long_wide_documents(spark):
+    spaced = x.load().replace('encoding="UTF-8"', " " * 300 + 'encoding="ISO-8859-1"')
+    for text, codec in ((spaced, "latin-1"), (named("UTF-16"), "utf-16")):
+        wide = text.replace("</TimeSeries>", "</TimeSeries><!--" + "Ä" * 300_000 + "-->")
+        wide = wide if codec == "latin-1" else wide.replace("Ä", "😀")
+        assert errors(spark, d.LOAD, wide.encode(codec)) == {}
+
+
+def test_unsupported_encodings_keep_their_reason(spark):
+    good = x.load()
     texts = [
-        long.replace("A03", "Ä03").encode("latin-1"), x.load().encode("utf-8-sig"),
-        x.load().encode("utf-16"), x.load().replace("UTF-8", "windows-1252").encode(),
+        good.encode("utf-16"), named("UTF-16").encode(), named("UTF-16LE").encode("utf-16-be"),
+        named("Shift_JIS").encode(), named("EBCDIC-CP-US").encode(), named("ISO-8859-12").encode(),
     ]
     reason = ["document: unsupported encoding"]
-    assert errors(spark, d.LOAD, *texts) == {"o2": reason, "o3": reason}
-    assert {r.curve_type for r in points(spark, d.LOAD, texts[0])} == {"Ä03"}
+    assert errors(spark, d.LOAD, *texts) == {f"o{i}": reason for i in range(len(texts))}
+
+
+def test_bytes_that_do_not_fit_their_encoding(spark):
+    wide = named("UTF-16").encode("utf-16-le")
+    comment = "<!--x-->".encode("utf-16-le")
+    texts = [
+        named("windows-1252").replace("A03", "?A03").encode().replace(b"?A03", b"\x81A03"),
+        b"\xff\xfe" + wide + b"\n",  # cut off unit
+        b"\xff\xfe" + wide + comment.replace(b"x\0", b"\x00\xd8"),  # first half alone
+        b"\xff\xfe" + wide + comment.replace(b"x\0", b"\x00\xdc"),  # second half alone
+        b"\xff\xfe" + wide + comment.replace(b"x\0", b"\x00\xdc\x00\xd8"),  # halves swapped
+        b"\xff\xfe", b"\xfe\xff\x00",
+    ]
+    found = errors(spark, d.LOAD, *texts)
+    assert found == {f"o{i}": ["document: not well-formed XML"] for i in range(len(texts))}
+
+
+def declared(subset, body="&a;"):
+    prolog, rest = x.load().replace("A03", body).split("\n", 1)
+    return f"{prolog}\n<!DOCTYPE GL_MarketDocument {subset}>\n{rest}"
+
+
+def test_internal_entities(spark):
+    cases = {
+        "A03": declared('[<!ENTITY a "A03">]'),
+        "one": declared("[<!ENTITY a 'one'> <!ENTITY a 'two'>]"),
+        "x-y-x": declared('[<!ENTITY a "&b;-&c;-&b;"><!ENTITY b "x"><!ENTITY c "y">]'),
+        "y-x": declared('[<!ENTITY b "x"><!ENTITY c "y-&b;"><!ENTITY a "&c;">]'),
+        "äz": declared('[<!-- <!ENTITY a "no"> --><!ENTITY a "&#228;z">]'),
+        "p&q": declared('[<!ENTITY a "p&amp;q">]'),
+        "$1\\x": declared('[<!ENTITY a "$1\\x">]'),
+        "plain": declared("", "plain"),
+        "sys": declared('SYSTEM "http://nowhere/x.dtd"', "sys"),
+        "sub": declared('SYSTEM "x>[y].dtd" [<!ELEMENT mRID (#PCDATA)><!ENTITY a "sub">] '),
+        "é": declared('[<!ENTITY a "é">]').replace("UTF-8", "ISO-8859-15").encode("iso8859-15"),
+    }
+    assert errors(spark, d.LOAD, *cases.values()) == {}
+    rows = points(spark, d.LOAD, *cases.values())
+    assert {(r.source_object_name, r.curve_type) for r in rows} == {
+        (f"o{i}", curve) for i, curve in enumerate(cases)
+    }
+
+
+def test_entities_that_stay_out(spark):
+    nested = "".join(f'<!ENTITY e{i} "{f"&e{i - 1};" * 10}">' for i in range(1, 12))
+    texts = [
+        declared("[]"), declared('[<!ENTITY a "&a;">]'), declared('[<!ENTITY a "&b;"><!ENTITY b "&a;">]'),
+        declared('[<!ENTITY a SYSTEM "file:///etc/hostname">]'),
+        declared('[<!ENTITY a "&#38;lt;">]'), declared('[<!ENTITY a "&#x3c;x/>">]'),
+        declared('[<!ENTITY % p "x"><!ENTITY a "%p;">]'), declared('[<!ENTITY a "x">]', "<![CDATA[&a;]]>"),
+        declared(f'[<!ENTITY e0 "{"x" * 10}">{nested}]', "&e11;"),
+    ]
+    found = errors(spark, d.LOAD, *texts)
+    assert found == {f"o{i}": ["document: not well-formed XML"] for i in range(len(texts))}
 
 
 def test_names_come_from_the_place_below_the_root(spark, tmp_path):

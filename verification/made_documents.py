@@ -174,6 +174,32 @@ def load_documents(events: DataFrame) -> DataFrame:
     return _named(events, "actual_load", load_xml())
 
 
+def encoded_load_documents(events: DataFrame) -> DataFrame:
+    """The load documents in six forms by event_id % 6: UTF-8, both orders of UTF-16, two
+    single-byte encodings with a byte that only they read so, and internal entities."""
+    xml, kind = load_xml(), F.col("event_id") % 6
+
+    def declared(encoding: str) -> Column:
+        return F.replace(xml, F.lit('"UTF-8"'), F.lit(f'"{encoding}"'))
+
+    def curve(text_: Column, code: str) -> Column:
+        return F.replace(text_, F.lit(">A03<"), F.lit(f">{code}<"))
+
+    marked = F.concat(F.lit("\ufeff"), curve(declared("UTF-16"), "\u0141A03"))
+    declarations = (
+        '?>\n<!DOCTYPE GL_MarketDocument [<!ENTITY a "&u;03">\n<!ENTITY u "A"> <!ENTITY u "B">]>'
+    )
+    content = (
+        F.when(kind == 0, F.encode(marked, "UTF-16LE"))
+        .when(kind == 1, F.encode(marked, "UTF-16BE"))
+        .when(kind == 2, F.encode(curve(declared("windows-1252"), "\x80A03"), "ISO-8859-1"))
+        .when(kind == 3, F.encode(curve(declared("iso-8859-2"), "\xa3A03"), "ISO-8859-1"))
+        .when(kind == 4, F.encode(F.replace(curve(xml, "&a;"), F.lit("?>"), F.lit(declarations)), "UTF-8"))
+        .otherwise(F.encode(xml, "UTF-8"))
+    )
+    return _named(events, "actual_load", content)
+
+
 def generation_documents(events: DataFrame) -> DataFrame:
     return _named(events, "actual_generation", generation_xml())
 

@@ -14,8 +14,9 @@ from wattline.functions import measures, text
 from wattline.operators import checks, projections, versions
 from wattline.plans import ingest, marts, models, quality
 from wattline.session import configure, work_folder
+from wattline.sinks import json_rows as json_sink
 from wattline.sinks import tables as sinks
-from wattline.sources import bridge, documents, manifest, tables, zones
+from wattline.sources import bridge, documents, json_rows, manifest, tables, zones
 from wattline.streaming import ingest as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,6 +186,43 @@ def _points(make, spec) -> Query:
     return lambda spark, sf_dir: comparable(documents.flatten(frame(spark, sf_dir), spec))
 
 
+def encoded_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of documents in several encodings, and of some with internal entities."""
+    made = made_documents.encoded_load_documents(_events(spark, sf_dir)).drop("event_id")
+    return comparable(documents.flatten(documents.parse(made, documents.LOAD), documents.LOAD))
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of all RAW rows of the three datasets."""
+    ev = _events(spark, sf_dir)
+    parts = [
+        json_sink.encoded(raw(ev)).select(F.lit(dataset.name).alias("dataset"), "line")
+        for dataset, raw in _RAW.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW prices written as JSON lines and read back; every third line is spoilt.
+
+    Lines are spoilt by event_id, which is part of the series' name, in three ways.
+    """
+    path, schema = _folder(spark, "json"), schemas.PRICES.schema
+    json_sink.write_rows(bridge.raw_prices(_events(spark, sf_dir)), path)
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    number = F.regexp_extract("line", r'"time_series_mrid":"s([0-9]+)"', 1).cast("bigint") % 9
+    spoilt = (
+        F.when(number == 0, F.regexp_replace("line", '"position":([0-9]+)', '"position":"$1"'))
+        .when(number == 3, F.regexp_replace("line", '"auction_type"', '"auctiontype"'))
+        .when(number == 6, F.concat("line", F.lit(" {}")))
+        .otherwise(F.col("line"))
+    )
+    read = json_rows.decoded(lines.select(spoilt.alias("line")), schema)
+    good = comparable(json_rows.accepted(read, schema)).withColumn("errors", F.lit(None).cast("string"))
+    bad = read.where(F.size("errors") > 0).select(F.array_join("errors", "; ").alias("errors"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = _parsed(made_documents.damaged_price_documents, documents.PRICES)(spark, sf_dir)
     return documents.rejected(parsed).select(
@@ -569,6 +607,12 @@ def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_RAW = {
+    schemas.LOAD: bridge.raw_load,
+    schemas.GENERATION: bridge.raw_generation,
+    schemas.PRICES: bridge.raw_prices,
+}
+
 QUERIES: dict[str, Query] = {
     "prj1_stg_load": _load("stg_actual_load"),
     "prj2_stg_generation": _generation("stg_actual_generation"),
@@ -633,6 +677,7 @@ QUERIES: dict[str, Query] = {
     "q16_daily_price_validity": overcounted_price_days,
     "quality_report": report,
     "src1_load_xml": _points(made_documents.load_documents, documents.LOAD),
+    "src1_load_encodings": encoded_points,
     "src2_generation_xml": _points(made_documents.generation_documents, documents.GENERATION),
     "src3_price_xml": _points(made_documents.price_documents, documents.PRICES),
     "src3_quarantine": quarantine,
@@ -648,6 +693,8 @@ QUERIES: dict[str, Query] = {
     "snk2_append_rerun": append_rerun,
     "snk2_broken_then_other_batch": other_batch_after_a_broken_one,
     "snk2_rows_of_one_batch": rows_of_one_batch,
+    "snk2_json_lines": json_lines,
+    "snk2_json_round_trip": json_round_trip,
     "snk4_provisioned": provisioned,
     "snk3_empty_documents": empty_documents,
     "snk5_views": views,

@@ -179,33 +179,131 @@ def name_objects(files: DataFrame, path: str) -> DataFrame:
     )
 
 
-# Declared encodings that can be read.
-_ENCODINGS = ("", "UTF-8", "US-ASCII", "ISO-8859-1")
+# Names of single-byte encodings, by family, and the codec each stands for.
+_SINGLE_BYTE = {
+    **{f"{family}{n}": f"iso8859-{n}" for n in (*range(1, 12), *range(13, 17))
+       for family in ("ISO-8859-", "ISO8859-", "ISO_8859-")},
+    **{f"{family}{n}": f"cp{n}" for n in range(1250, 1259) for family in ("WINDOWS-", "CP")},
+}
+# Declared encodings read as UTF-8, and the ways a document of two bytes a
+# character can begin and be declared.
+_UTF8 = ("", "UTF-8", "US-ASCII")
+_BEGIN = {"FEFF": "UTF-16BE", "FFFE": "UTF-16LE", "003C": "UTF-16BE", "3C00": "UTF-16LE"}
+_LATIN = "".join(map(chr, range(128, 256)))
+_UNDEFINED = "\ufffd"
+
+
+def _two_byte_order(content: Column) -> Column:
+    """Which UTF-16 the first bytes show; null for documents of one byte a character."""
+    begin = F.hex(F.substring(content, 1, 2))
+    found = F.when(F.lit(False), F.lit(""))
+    for first, order in _BEGIN.items():
+        found = found.when(begin == first, order)
+    return found
 
 
 def declared_encoding(content: Column) -> Column:
     """Encoding named by the XML declaration, upper case; empty when it names none."""
     latin = F.decode(content, "ISO-8859-1")
+    plain = F.when(_two_byte_order(content).isNull(), latin).otherwise(
+        F.translate(latin, "\x00", "")
+    )
     return F.upper(
-        F.regexp_extract(latin, r"""^[^<]*<\?xml[^>]*?encoding=["']([A-Za-z0-9._-]+)["']""", 1)
+        F.regexp_extract(plain, r"""^[^<]*<\?xml[^>]*?encoding=["']([A-Za-z0-9._-]+)["']""", 1)
     )
 
 
 def unsupported_encoding(content: Column) -> Column:
-    """Whether the bytes begin like UTF-16 or name an encoding that cannot be read."""
-    begin = F.hex(F.substring(content, 1, 2))
-    wide = begin.isin("FEFF", "FFFE", "003C", "3C00")
-    return F.coalesce(wide | ~declared_encoding(content).isin(*_ENCODINGS), F.lit(False))
+    """Whether the named encoding cannot be read, or the first bytes contradict it."""
+    order, declared = _two_byte_order(content), declared_encoding(content)
+    fits = declared.isin("", "UTF-16") | (declared == order)
+    return F.coalesce(
+        F.when(order.isNotNull(), ~fits).otherwise(~declared.isin(*_UTF8, *_SINGLE_BYTE)),
+        F.lit(False),
+    )
+
+
+def _single_byte(content: Column, declared: Column) -> Column:
+    """Text of one byte a character; null where a byte has no character in that encoding."""
+    latin = F.decode(content, "ISO-8859-1")
+    found = F.when(declared == "ISO-8859-1", latin)
+    for codec in dict.fromkeys(_SINGLE_BYTE.values()):
+        names = [name for name, of in _SINGLE_BYTE.items() if of == codec]
+        to = bytes(range(128, 256)).decode(codec, "replace")
+        found = found.when(declared.isin(*names), F.translate(latin, _LATIN, to))
+    return F.when(~F.contains(found, F.lit(_UNDEFINED)), found)
+
+
+def _two_bytes(content: Column, order: str) -> Column:
+    """Text of UTF-16 without its mark; null where units are cut off or halves unpaired.
+
+    The bytes are checked first, as decoding would fail the job. Whole pairs are taken out
+    one by one from the start on, after which no half may be left.
+    """
+    high, low, other = "[\\u00D8-\\u00DB]", "[\\u00DC-\\u00DF]", "[^\\u00D8-\\u00DF]"
+    unit = "(?:{}.)" if order == "UTF-16BE" else "(?:.{})"
+    usual, pair = unit.format(other), unit.format(high) + unit.format(low)
+    marked = F.hex(F.substring(content, 1, 2)).isin("FEFF", "FFFE")
+    body = F.when(marked, F.substring(content, 3, 2**31 - 1)).otherwise(content)
+    latin = F.decode(body, "ISO-8859-1")
+    rest = F.regexp_replace(latin, rf"(?s)\G({usual}*+){pair}", "$1")
+    return F.when(rest.rlike(rf"(?s)^{usual}*+\z"), F.decode(body, order))
 
 
 def decoded(content: Column) -> Column:
-    """Document text in its declared encoding; null where the bytes do not fit it."""
-    declared = declared_encoding(content)
-    return F.when(declared == "ISO-8859-1", F.decode(content, "ISO-8859-1")).when(
-        declared.isin(*_ENCODINGS), F.try_validate_utf8(content.cast("string"))
+    """Document text in its declared encoding; null where the bytes do not fit it.
+
+    UTF-8, UTF-16 of either order, with or without a mark, and the single-byte families of
+    ``_SINGLE_BYTE``.
+    """
+    order, declared = _two_byte_order(content), declared_encoding(content)
+    return (
+        F.when(unsupported_encoding(content), F.lit(None).cast("string"))
+        .when(order == "UTF-16BE", _two_bytes(content, "UTF-16BE"))
+        .when(order == "UTF-16LE", _two_bytes(content, "UTF-16LE"))
+        .when(declared.isin(*_UTF8), F.try_validate_utf8(content.cast("string")))
+        .otherwise(_single_byte(content, declared))
     )
 
 
+# A document may not become longer than this many characters, or this many times its length.
+EXPANDED_CHARS, EXPANDED_TIMES = 8_000_000, 100
+_DOCTYPE = r"""(?s)<!DOCTYPE(?:[^\["'>]|"[^"]*"|'[^']*')*+(?:\[(.*?)\]\s*)?>"""
+_ENTITY = r"""<!ENTITY\s+([A-Za-z_:][\w:.-]*)\s+(?:"([^"%]*)"|'([^'%]*)')\s*>"""
+
+
+def expanded(xml: Column) -> Column:
+    """Document text with the internal entities of its DOCTYPE put in and that taken away.
+
+    A name keeps its first declaration, and values may refer to other entities. Entities from
+    elsewhere are never fetched. Null where a text would outgrow the bound, where a value
+    holds an escaped ``&`` or ``<`` (which would have to be read twice), and where CDATA
+    holds ``&``, which must stay as it is.
+    """
+    subset = F.coalesce(F.regexp_extract(xml, _DOCTYPE, 1), F.lit(""))
+    subset = F.regexp_replace(subset, r"(?s)<!--.*?-->", "")
+    body = F.regexp_replace(xml, _DOCTYPE, "")
+    whole = F.regexp_extract_all(subset, F.lit(_ENTITY), F.lit(0))
+    entities = F.transform(whole, lambda e: F.struct(
+        F.concat(F.lit("&"), F.regexp_extract(e, _ENTITY, 1), F.lit(";")).alias("ref"),
+        F.concat(F.regexp_extract(e, _ENTITY, 2), F.regexp_extract(e, _ENTITY, 3)).alias("value"),
+    ))
+    most = F.greatest(F.lit(EXPANDED_CHARS), EXPANDED_TIMES * F.length(xml))
+
+    def put_in(text_: Column, entity: Column) -> Column:
+        ref, value = entity["ref"], entity["value"]
+        without = F.length(F.replace(text_, ref, F.lit("")))
+        times = (F.length(text_) - without) / F.length(ref)
+        return F.when(without + times * F.length(value) <= most, F.replace(text_, ref, value))
+
+    # as many rounds as there are entities: no chain of values that ends is longer
+    rounds = F.flatten(F.array_repeat(entities, F.size(entities)))
+    full = F.aggregate(rounds, body, put_in)
+    twice = F.exists(entities, lambda e: e["value"].rlike("&#(?:0*(?:38|60)|x0*(?:26|3[cC]));"))
+    raw = body.rlike(r"(?s)<!\[CDATA\[(?:(?!\]\]>)[^&])*+&")
+    return F.when((F.size(entities) == 0) | ~(twice | raw), full)
+
+
 def _first(values: Column) -> Column:
     """First of several same-named elements; later repeats are ignored.
 
@@ -367,10 +465,13 @@ def parse(documents: DataFrame, spec: DocumentSpec) -> DataFrame:
         "nullValue": "",
         "columnNameOfCorruptRecord": _CORRUPT,
     }
+    plain = F.col("xml")
     read = documents.select(
         "source_object_name",
         (decoded(content) if is_binary else content).alias("xml"),
         (unsupported_encoding(content) if is_binary else F.lit(False)).alias("unreadable"),
+    ).withColumn(
+        "xml", F.when(F.contains(plain, F.lit("<!DOCTYPE")), expanded(plain)).otherwise(plain)
     ).select(
         "source_object_name",
         F.from_xml("xml", document_ddl(spec), options).alias("document"),
