@@ -2,9 +2,12 @@
 
 import hashlib
 import math
+import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -223,6 +226,36 @@ def _shift():
     return F.col("doc_id") + 1000
 
 
+def test_pairs_are_written_where_groups_meet_first(spark):
+    """Random postings, each shingle in a bin of its own: the same pairs, near copies once."""
+    rng = random.Random(5)
+    held = {g: sorted(rng.sample(range(1, 25), 12)) for g in range(30)}
+    held |= {g: held[0] for g in range(30, 36)}
+    crowded, dense = {3, 4, 11, 12, 20}, {g: g % 3 == 0 for g in held}
+    postings = [
+        (t, pos, g, t in crowded, dense[g]) for g, tokens in held.items() for pos, t in enumerate(tokens)
+    ]
+    met = spark.createDataFrame(postings, "token long, pos long, gid long, crowded boolean, dense boolean")
+    rows = ngram_join._remembering(met).selectExpr(
+        "*", "gid as sid", "gid div 2 as part", "20L as n", "cast(repeat('a', 32) as binary) as narrow",
+        "0 as own", "0 as first", "0 as second",
+    ).toArrow()
+    forgetful = rows
+    for i in range(ngram_join.EARLIER):
+        at = forgetful.schema.get_field_index(f"earlier{i}")
+        forgetful = forgetful.set_column(at, f"earlier{i}", pa.array([0] * rows.num_rows, pa.int64()))
+
+    def pairs(table):
+        bins = [ngram_join._cross(table.filter(pc.field("token") == t), 70) for t in range(1, 25)]
+        return [(a, b) for found in bins for a, b in zip(found["a"].to_pylist(), found["b"].to_pylist())]
+
+    every, once = pairs(forgetful), pairs(rows)
+    assert set(once) == set(every) and len(set(every)) > 200
+    assert len(once) < len(every)
+    copies = [(a, b) for a, b in once if a >= 30]
+    assert len(copies) == len(set(copies)) == 12
+
+
 def test_ngram_join_lower_limit_and_empty(spark):
     docs = frames.made_docs(spark, 200, seed=8)
     found = ngram_join.similar_documents(docs, percent=70, block=32).collect()

@@ -19,7 +19,9 @@
 5. Then group pairs at shingles that hold several components are expanded to all their members.
    Member pairs of different components that pass the size, position and bitmap filters are
    verified too. Pairs within a component need no look, so a group of near copies costs about
-   as many pairs as it has members, and no link between different texts is lost.
+   as many pairs as it has members, and no link between different texts is lost. A posting
+   remembers the ``EARLIER`` shingles before it; a pair that meets at one of them is written
+   there, not again.
 
 Texts are read twice for shingles; sets are made again from the texts of passing pairs only.
 
@@ -42,6 +44,8 @@ from wattline.llm.shingles import M1, M2, mixed, shingle_set
 
 WIDTH, PERCENT = 3, 90
 HEAVY, FLUSH, LOCAL = 300_000, 4_000_000, 2
+# earlier meeting places that a posting remembers
+EARLIER = 4
 CROWD, HUBS, BLOCK, BIN_ROWS = 32, 8, 2048, 50_000
 # bits of the bitmap of every set, and of the second one of sets from a size on
 NARROW, WIDE = 256, ((512, 4096), (128, 1024))
@@ -199,8 +203,12 @@ def _passing(rows: dict[str, np.ndarray], percent: int):
         i, j, most = i[keep], j[keep], (small + large - 2 * least)[keep]
         if len(i):
             apart = np.bitwise_count(rows["bits"][i] ^ rows["bits"][j]).sum(axis=1)
-            near = apart <= most
-            yield i[near], j[near]
+            i, j = i[apart <= most], j[apart <= most]
+            met = np.zeros(len(i), bool)
+            for x in rows["earlier"]:
+                for y in rows["earlier"]:
+                    met |= (x[i] == y[j]) & (x[i] != 0)
+            yield i[~met], j[~met]
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.Table:
@@ -223,6 +231,7 @@ def _cross(rows: pa.Table, percent: int) -> pa.Table:
         "inner": take("first") == take("second"), "group": take("gid"), "part": take("part"),
         "crowded": take("crowded").astype(bool), "dense": take("dense").astype(bool),
         "bits": np.frombuffer(narrow, np.uint64).reshape(-1, NARROW // 64),
+        "earlier": [take(f"earlier{i}") for i in range(EARLIER)],
     }
     sid, found = take("sid"), [(np.empty(0, int), np.empty(0, int))]
     found += _passing(columns, percent)
@@ -354,6 +363,23 @@ def _placed_postings(met: DataFrame, groups: DataFrame, percent: int) -> DataFra
     )
 
 
+def _remembering(met: DataFrame) -> DataFrame:
+    """Adds the shingles of a group's ``EARLIER`` postings before each one; 0 for none.
+
+    Postings of a group have one order, so of the shingles at which two groups meet one has no
+    other before it that both remember, and there the pair is written. A pair passes at an
+    earlier shingle if it does at a later one, as positions only grow; but two light groups meet
+    at uncrowded shingles only, so those never refer to a crowded one.
+    """
+    of_group = Window.partitionBy("gid").orderBy("pos", "token")
+
+    def earlier(i: int):
+        hidden = ~F.col("crowded") & F.lag("crowded", i, False).over(of_group)
+        return F.when(hidden, F.lit(0)).otherwise(F.lag("token", i, 0).over(of_group)).cast("long")
+
+    return met.select("*", *[earlier(i + 1).alias(f"earlier{i}") for i in range(EARLIER)])
+
+
 def _stars(met: DataFrame) -> DataFrame:
     """(gid, hub): every group with the hubs of its shingles. Light groups skip crowded ones."""
     of_use = met.where("not crowded or dense").select("token", "gid")
@@ -443,7 +469,7 @@ def similar_documents(
         .where("low <> high and of_use").select("t")
     )
     open_rows = stored(
-        met.join(mixed_tokens, F.col("token") == F.col("t")).drop("t").join(placed, "gid"),
+        _remembering(met.join(mixed_tokens, F.col("token") == F.col("t")).drop("t")).join(placed, "gid"),
         "ngram-open",
     )
     crossing = _meetings(open_rows, block).groupBy("bin").applyInArrow(
