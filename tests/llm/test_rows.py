@@ -84,6 +84,30 @@ def test_unmoved_blocks_keep_their_files(spark):
     assert len(rows) == 400 and all(r.piece.startswith("block") for r in rows)
 
 
+def test_straddling_rows_are_placed_one_by_one():
+    # shard 0 keeps 40 of its 90 bytes, 10 go to shard 1 and 40 to shard 2; a row lies in all three stretches
+    chosen = sharding.plan({0: 90, 1: 30}, [], [40, 40, 40])
+    assert sorted(b - a for o, a, b, n in chosen.stretches if o == n) == [30, 40]
+    assert chosen.ends() == [(0, 40), (0, 50)]
+    chosen.settle([(35, 0, 0, 1, 35)])
+    assert chosen.single == {(0, 0, 1): 2} and chosen.loads == [35, 30, 55]
+    # a row that fills a shard stays there, the others share the rest alike
+    chosen = sharding.plan({0: 10, 1: 20}, [(90, 0, 0, 0)], [40, 40, 40])
+    assert chosen.single == {(0, 0, 0): 0} and chosen.capacities == [90, 15, 15]
+
+
+def bytes_moved(rows, old):
+    """Bytes in another shard than before, the least of all layouts of equal bytes, bytes by new shard."""
+    before, after = defaultdict(int), defaultdict(int)
+    moved = 0
+    for key, size, shard in rows:
+        before[old(key)] += size
+        after[shard] += size
+        moved += size * (old(key) != shard)
+    mean = sum(after.values()) / sharding.NEW
+    return moved, sum(max(0, held - mean) if shard < sharding.NEW else held for shard, held in before.items()), after
+
+
 def test_registered_sharding(spark, sf_dir):
     texts = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").collect()}
     rows = sharding.op1_sharding(spark, sf_dir).collect()
@@ -91,6 +115,14 @@ def test_registered_sharding(spark, sf_dir):
     for r in rows:
         raw = (texts[r.doc_id] or "").encode()
         assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(raw) + 16, zlib.crc32(raw), "bytes", None)
+    moved, least, after = bytes_moved(
+        [(r.doc_id, r["size"], r.shard) for r in rows], lambda i: zlib.crc32(str(i).encode()) % sharding.OLD
+    )
+    largest, total = max(r["size"] for r in rows), sum(r["size"] for r in rows)
+    assert len(after) == sharding.NEW
+    assert max(after.values()) - min(after.values()) <= largest
+    # a stretch ends in at most one row, and there are fewer ends than shards
+    assert moved <= least + largest * (sharding.OLD + sharding.NEW) and moved <= total * 0.45
     for shard in {r.shard for r in rows}:
         assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
 

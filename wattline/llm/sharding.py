@@ -1,15 +1,17 @@
 """Resharding by minimum-cost flow: sizes become near equal and the fewest bytes move.
 
 A layout holds rows in shards, and each shard in blocks: one folder per block. Within a block a
-row knows its place and where it begins on the line of bytes that the block's small rows form.
+row knows its place and where it begins on the line of bytes that the block's rows form.
 
-Resharding looks at block sizes only. Small rows are a flow from old shards to new ones, bounded
+Resharding looks at block sizes only. All bytes are a flow from old shards to new ones, bounded
 by what the old hold and the new can take; a byte that changes its shard costs one, a byte that
 stays costs nothing. The flow is solved by shortest augmenting paths, on as many nodes as there
 are shards. What flows from one shard to another is one stretch of the old shard's line, so
-whole blocks move and few are cut. Rows over 1/500 of a mean shard are too coarse for that: they
-are at most 500 per shard, stay while they fit, and else go, largest first, to the emptiest
-shard. Only blocks that lose a row are written again; all others keep their files.
+whole blocks move and few are cut. Rows that lie in one stretch follow it. Rows that straddle the
+end of a stretch, one per end at most, are placed one by one, largest first: they stay while they
+fit, and else go to the emptiest shard. So do rows as large as a whole new shard, of which there
+are no more than new shards: they are placed before the flow, which then fills the other shards
+alike. Only blocks that lose a row are written again; all others keep their files.
 
 Defined cases: a null text has size 16; rows of a null or negative old shard start in shard 0;
 repeated rows are rows of their own, and equal texts are not kept together, since one group may
@@ -30,7 +32,6 @@ from pyspark.sql import types as T
 from wattline.llm.common import stored, table
 from wattline.session import work_folder
 
-COARSE = 500
 LEAST_BLOCK, MOST_BLOCK, BLOCKS = 4 << 20, 256 << 20, 10_000
 
 
@@ -92,43 +93,65 @@ def fill(loads, capacities, total: int) -> np.ndarray:
 
 @dataclass
 class Plan:
-    """Stretches (old, from, to, new) of small bytes, and new shards of coarse rows."""
+    """Stretches (old, from, to, new) of bytes, bytes of each new shard, new shards of single rows."""
 
     stretches: list[tuple[int, int, int, int]]
-    coarse: dict[tuple[int, int, int], int]
+    capacities: list[int]
+    loads: list[int]
+    single: dict[tuple[int, int, int], int]
 
     def moved(self, old: int, low: int, high: int) -> bool:
         return any(o == old != n and a < high and b > low for o, a, b, n in self.stretches)
 
+    def ends(self) -> list[tuple[int, int]]:
+        """Places (old, byte) where one stretch ends and another begins."""
+        return [(old, low) for old, low, _, _ in self.stretches if low > 0]
 
-def plan(small: dict[int, int], coarse: list[tuple[int, int, int, int]], capacities: list[int]) -> Plan:
-    """``small``: bytes of small rows by old shard; ``coarse``: (size, shard, block, place)."""
-    n = len(capacities)
-    loads, places, waiting = [0] * n, {}, []
-    for size, shard, block, place in sorted(coarse, key=lambda c: (-c[0], *c[1:])):
-        if shard < n and loads[shard] + size <= capacities[shard]:
+    def settle(self, straddling: list[tuple[int, int, int, int, int]]) -> None:
+        """Places rows (size, shard, block, place, first byte) that lie in several stretches."""
+        for size, shard, _, _, first in straddling:
+            for old, low, high, new in self.stretches:
+                if old == shard:
+                    self.loads[new] -= max(0, min(high, first + size) - max(low, first))
+        _place(self.loads, self.capacities, [row[:4] for row in straddling], self.single)
+
+
+def _place(loads, capacities, rows, places) -> None:
+    """Rows (size, shard, block, place), largest first: home while they fit, else the emptiest shard."""
+    waiting = []
+    for size, shard, block, place in sorted(rows, key=lambda c: (-c[0], *c[1:])):
+        if shard < len(loads) and loads[shard] + size <= max(capacities[shard], size):
             loads[shard] += size
             places[shard, block, place] = shard
         else:
             waiting.append((size, shard, block, place))
-    roomy = [(loads[j] - capacities[j], j) for j in range(n)]
+    roomy = [(load - capacity, j) for j, (load, capacity) in enumerate(zip(loads, capacities))]
     heapq.heapify(roomy)
     for size, shard, block, place in waiting:
         lack, j = heapq.heappop(roomy)
         places[shard, block, place] = j
         loads[j] += size
         heapq.heappush(roomy, (lack + size, j))
-    olds = sorted(small)
-    given = fill(loads, capacities, sum(small.values()))
+
+
+def plan(held: dict[int, int], whole: list[tuple[int, int, int, int]], capacities: list[int]) -> Plan:
+    """``held``: bytes by old shard; ``whole``: rows (size, shard, block, place) as large as a
+    new shard, which ``held`` leaves out."""
+    n = len(capacities)
+    loads, places = [0] * n, {}
+    _place(loads, capacities, whole, places)
+    olds = sorted(held)
+    given = fill(loads, capacities, sum(held.values()))
     cost = [[0 if old == new else 1 for new in range(n)] for old in olds]
-    flow = min_cost_flow([small[old] for old in olds], given, cost) if olds else np.zeros((0, n))
+    flow = min_cost_flow([held[old] for old in olds], given, cost) if olds else np.zeros((0, n))
     stretches = []
     for old, amounts in zip(olds, flow):
         at = 0
         for new in sorted(np.flatnonzero(amounts).tolist(), key=lambda new: (new != old, new)):
             stretches.append((old, at, at + int(amounts[new]), new))
             at += int(amounts[new])
-    return Plan(stretches, places)
+    aims = [load + int(more) for load, more in zip(loads, given)]
+    return Plan(stretches, aims, list(aims), places)
 
 
 def sizes(text: Column) -> Column:
@@ -137,12 +160,12 @@ def sizes(text: Column) -> Column:
 
 @dataclass
 class Layout:
-    """Where shards lie, all their bytes, and the size from which a row counts as coarse."""
+    """Where shards lie, all their bytes, and the size from which a row fills a new shard."""
 
     folder: str
     schema: T.StructType
     total: int
-    coarse: int
+    whole: int
 
 
 def lay_out(docs: DataFrame, shard: Column, n_old: int, n_new: int, folder: str, text: str = "text") -> Layout:
@@ -151,7 +174,7 @@ def lay_out(docs: DataFrame, shard: Column, n_old: int, n_new: int, folder: str,
     rows = docs.select(F.struct("*").alias("row"), shard.alias("s_shard"), sizes(F.col(text)).alias("s_size"))
     held = {r[0]: r[1] for r in rows.groupBy("s_shard").agg(F.sum("s_size")).collect()}
     total = sum(held.values())
-    coarse = max(1, total // (n_new * COARSE))
+    whole = max(1, -(-total // n_new))
     block_bytes = max(LEAST_BLOCK, min(MOST_BLOCK, total // BLOCKS))
     blocks = F.array(*(F.lit(max(1, -(-held.get(s, 0) // block_bytes))) for s in range(n_old)))
     placed = rows.withColumn(
@@ -160,12 +183,12 @@ def lay_out(docs: DataFrame, shard: Column, n_old: int, n_new: int, folder: str,
     )
     order = Window.partitionBy("s_shard", "s_block").orderBy(F.desc("s_size"), F.xxhash64("row"))
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    fine = F.when(F.col("s_size") < coarse, F.col("s_size")).otherwise(0)
+    flowing = F.when(F.col("s_size") < whole, F.col("s_size")).otherwise(0)
     laid = placed.withColumn("s_place", F.row_number().over(order) - 1).withColumn(
-        "s_start", F.coalesce(F.sum(fine).over(before), F.lit(0))
+        "s_start", F.coalesce(F.sum(flowing).over(before), F.lit(0))
     )
     laid.write.partitionBy("s_shard", "s_block").option("compression", "zstd").parquet(folder)
-    return Layout(folder, laid.schema, total, coarse)
+    return Layout(folder, laid.schema, total, whole)
 
 
 def _read(spark: SparkSession, folder: str, paths: list[str], schema) -> DataFrame:
@@ -179,47 +202,63 @@ def reshard(spark: SparkSession, layout: Layout, new_folder: str, capacities: li
 
     ``piece`` names the file group a row lies in: a kept block, or what a shard got from a block.
     """
-    folder, schema, coarse = layout.folder, layout.schema, layout.coarse
+    folder, schema, whole = layout.folder, layout.schema, layout.whole
+    path = lambda key: f"{folder}/s_shard={key[0]}/s_block={key[1]}"
     old = spark.read.schema(schema).parquet(folder)
-    fine = F.when(F.col("s_size") < coarse, F.col("s_size")).otherwise(0)
+    flowing = F.when(F.col("s_size") < whole, F.col("s_size")).otherwise(0)
     # one row per block, as in the list of files that the driver holds anyway
     blocks = [
-        (r["s_shard"], r["s_block"], r["fine"])
-        for r in old.groupBy("s_shard", "s_block").agg(F.sum(fine).alias("fine")).collect()
+        (r["s_shard"], r["s_block"], r["held"])
+        for r in old.groupBy("s_shard", "s_block").agg(F.sum(flowing).alias("held")).collect()
     ]
     large = [
         (r["s_size"], r["s_shard"], r["s_block"], r["s_place"])
-        for r in old.where(F.col("s_size") >= coarse)
+        for r in old.where(F.col("s_size") >= whole)
         .select("s_size", "s_shard", "s_block", "s_place").collect()
     ]
-    small, starts = {}, {}
+    lines, starts = {}, {}
     for shard, block, held in sorted(blocks):
-        starts[shard, block] = small.get(shard, 0)
-        small[shard] = starts[shard, block] + held
-    chosen = plan(small, large, capacities)
-    touched = {key[:2] for key, new in chosen.coarse.items() if new != key[0]}
+        starts[shard, block] = lines.get(shard, 0)
+        lines[shard] = starts[shard, block] + held
+    at = spark.createDataFrame([(*k, v) for k, v in starts.items()], "b_shard int, b_block int, b_start long")
+    here = (F.col("s_shard") == F.col("b_shard")) & (F.col("s_block") == F.col("b_block"))
+    chosen = plan(lines, large, capacities)
+
+    # rows in which a stretch ends, from the blocks in which one does
+    ends = spark.createDataFrame(chosen.ends(), "e_shard int, e_at long")
+    cut = {
+        (shard, block) for shard, block, held in blocks for end in chosen.ends()
+        if end[0] == shard and starts[shard, block] < end[1] < starts[shard, block] + held
+    }
+    first, size = F.col("b_start") + F.col("s_start"), F.col("s_size")
+    straddling = (
+        _read(spark, folder, [path(key) for key in sorted(cut)], schema)
+        .where(size < whole).join(F.broadcast(at), here)
+        .join(
+            F.broadcast(ends),
+            (F.col("s_shard") == F.col("e_shard")) & (F.col("e_at") > first) & (F.col("e_at") < first + size),
+            "left_semi",
+        )
+        .select("s_size", "s_shard", "s_block", "s_place", first.alias("first")).collect()
+    )
+    chosen.settle([tuple(row) for row in straddling])
+    touched = {key[:2] for key, new in chosen.single.items() if new != key[0]}
     touched |= {
         (shard, block) for shard, block, held in blocks
         if chosen.moved(shard, starts[shard, block], starts[shard, block] + held)
     }
-    path = lambda key: f"{folder}/s_shard={key[0]}/s_block={key[1]}"
     kept = _read(spark, folder, [path(b[:2]) for b in sorted(blocks) if b[:2] not in touched], schema)
     affected = _read(spark, folder, [path(key) for key in sorted(touched)], schema)
 
-    # three small tables: blocks, stretches (fewer than old plus new shards), coarse rows
-    at = spark.createDataFrame([(*k, v) for k, v in starts.items()], "b_shard int, b_block int, b_start long")
+    # small tables: blocks, stretches (fewer than old times new shards), rows placed one by one
     ways = spark.createDataFrame(chosen.stretches, "w_shard int, w_from long, w_to long, w_new int")
     fixed = spark.createDataFrame(
-        [(*k, v) for k, v in chosen.coarse.items()], "c_shard int, c_block int, c_place int, c_new int"
+        [(*k, v) for k, v in chosen.single.items()], "c_shard int, c_block int, c_place int, c_new int"
     )
-    middle = F.col("b_start") + F.col("s_start") + F.floor(F.col("s_size") / 2)
-    inside = (middle >= F.col("w_from")) & (middle < F.col("w_to"))
+    inside = (first >= F.col("w_from")) & (first < F.col("w_to"))
     sent = (
-        affected.join(F.broadcast(at), (F.col("s_shard") == F.col("b_shard")) & (F.col("s_block") == F.col("b_block")))
-        .join(
-            F.broadcast(ways),
-            (F.col("s_shard") == F.col("w_shard")) & (F.col("s_size") < coarse) & inside, "left",
-        )
+        affected.join(F.broadcast(at), here)
+        .join(F.broadcast(ways), (F.col("s_shard") == F.col("w_shard")) & (size < whole) & inside, "left")
         .join(
             F.broadcast(fixed),
             (F.col("s_shard") == F.col("c_shard")) & (F.col("s_block") == F.col("c_block"))
