@@ -1,5 +1,7 @@
 """Stages of the corpus pipeline against plain versions."""
 
+from collections import defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ def test_near_duplicates_share_five_words(spark, sf_dir):
 
 @pytest.mark.parametrize("weight", [1.0, 0.1, 0.02, 1e-6])
 def test_buckets_of_keys_stay_small_for_any_weight(spark, weight):
-    keys = spark.range(20_000).select(mixing.sample_key(F.col("id"), F.lit(weight), 17).alias("key"))
+    keys = spark.range(20_000).select(mixing.sample_key(F.col("id"), F.lit("a"), F.lit(weight), 17).alias("key"))
     found = keys.select("key", mixing._bucket(F.col("key")).alias("bucket")).orderBy("key").collect()
     buckets = [r.bucket for r in found]
     assert buckets == sorted(buckets)
@@ -51,6 +53,30 @@ def test_mixing_of_long_words_follows_the_keys(spark):
     assert {r.doc_id: r.copies for r in found} == plain_order_selection(found)
 
 
+@pytest.mark.parametrize("ids", ["one", "null", "equal"])
+def test_mixing_meets_targets_whatever_repeats(spark, ids):
+    """Half of the rows share an id or have none, with texts of their own or all the same."""
+    def text(i):
+        return "five words are in this" if ids == "equal" else f"five words are in {i}"
+
+    rows = [((None if ids == "null" else 7) if i % 2 else i, text(i) if i % 2 else f"a {i} c d e", f"s{i % 6 // 2}", i) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, edge long")
+    found = mixing.mix(docs.repartition(6))
+    assert {"doc_id", "text", "source", "edge"} <= set(found.columns)
+    found = found.collect()
+    assert sorted(r.edge for r in found) == list(range(6000))
+    taken = defaultdict(int)
+    for r in found:
+        taken[r.source] += r.taken
+        assert r.taken == r.size * r.copies and 0 <= r.copies <= 3
+    goals = {r.source: r.target for r in found}
+    assert sum(goals.values()) == pytest.approx(30_000)
+    for source, goal in goals.items():
+        assert abs(taken[source] - goal) <= 2.5
+    again = mixing.mix(docs.repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.text, r.taken) for r in again) == sorted((str(r.doc_id), r.text, r.taken) for r in found)
+
+
 def test_bins_hold_the_copies_of_crowded_shingles(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BIN_ROWS", 1000)
     members = spark.range(600).select(F.lit(7).cast("long").alias("token"), F.col("id").alias("sid"))

@@ -8,11 +8,13 @@ the budget reaches.
 
 The order within a source is never built in one task. Keys fall into buckets that keep their
 order and stay small for any weights; bucket sums say in which bucket the budget of a source ends, and only rows of that
-bucket are sorted. ``u`` comes from the document id, so reruns agree.
+bucket are sorted. ``u`` comes from the document id and the text, so reruns agree. Rows of equal
+id and text tie; where a budget ends among them, as many are taken as it reaches, counted per
+piece of the table first, so that no task numbers a large group of them.
 
-Defined cases: a null text has no words, null is a source of its own and comes last, rows with
-equal key and id are taken together, documents without words are taken with 0 words, and an
-input column named like an output column is replaced.
+Defined cases: a null text has no words, null is a source of its own and comes last, rows that
+share an id or have none are told apart by their texts, documents without words are taken with 0
+words, and an input column named like an output column is replaced.
 """
 
 from __future__ import annotations
@@ -33,9 +35,10 @@ def word_length_weight(text: Column, size: Column) -> Column:
     return F.coalesce(1 / (1 + F.abs(mean - 6)), F.lit(0.1))
 
 
-def sample_key(doc_id: Column, weight: Column, seed: int) -> Column:
+def sample_key(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
     """Exponential key; 52 bits of a digest stand for the uniform number."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+    parts = (F.coalesce(part.cast("string"), F.lit("")) for part in (doc_id, text))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
     bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
     return -F.log((bits + 1) / F.lit(float(2**52 + 1))) / weight
 
@@ -120,22 +123,51 @@ def _plan(narrow: DataFrame, shares: tuple[int, ...], cap: int) -> DataFrame:
             edges,
             F.col("source").eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("edge")),
         )
-        .groupBy("source", "key", "tie", "before", "budget")
-        .agg(F.sum("size").alias("size"))
-        .withColumn("reached", F.col("before") + F.sum("size").over(order))
-        .where(F.col("reached") - F.col("size") / 2 <= F.col("budget"))
+        .groupBy("source", "key", "tie", "size", "before", "budget").agg(F.count("*").alias("n"))
+        .withColumn("words", F.col("size") * F.col("n"))
+        .withColumn("left", F.col("budget") - F.col("before") - F.sum("words").over(order) + F.col("words"))
+        # how many of equal rows come before the budget's end by at least half of their words
+        .withColumn("reached", F.when(F.col("size") == 0, F.col("n")).otherwise(
+            F.least(F.col("n"), F.floor(F.col("left") / F.greatest(F.col("size"), F.lit(1)) + 0.5))
+        ))
+        .where((F.col("left") >= 0) & (F.col("reached") > 0))
         .groupBy(F.col("source").alias("c_source"))
-        .agg(F.max(F.struct("key", "tie")).alias("cut"))
+        .agg(
+            F.max(F.struct("key", "tie")).alias("cut"),
+            F.max_by(F.struct("reached", "n"), F.struct("key", "tie")).alias("at_cut"),
+        )
     )
     return (
         goals.join(edges.select("e_source", "edge"), F.col("source").eqNullSafe(F.col("e_source")), "left")
         .join(cut, F.col("source").eqNullSafe(F.col("c_source")), "left")
         .select(
             F.col("source").alias("p_source"), "source_size", "target", "epochs", "edge", "cut",
+            F.col("at_cut.reached").alias("reached"),
+            (F.col("at_cut.reached") < F.col("at_cut.n")).alias("divided"),
         )
     )
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with ``_nth``, from 1 within a source: pieces of the table are counted first."""
+    here = F.col("p_source").alias("n_source")
+    placed = stored(
+        rows.withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_piece", F.shiftright("_at", 33)),
+        "mix-divided",
+    )
+    counted = placed.groupBy(here, F.col("_piece").alias("n_piece")).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("n_source").orderBy("n_piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counted.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    within = Window.partitionBy("p_source", "_piece").orderBy("_at")
+    return (
+        placed.withColumn("_k", F.row_number().over(within))
+        .join(starts, F.col("p_source").eqNullSafe(F.col("n_source")) & (F.col("_piece") == F.col("n_piece")))
+        .withColumn("_nth", F.col("start") + F.col("_k"))
+        .drop("_at", "_piece", "_k", "n_source", "n_piece", "n", "start")
+    )
+
+
 def mix(
     docs: DataFrame,
     text: str = "text",
@@ -155,9 +187,9 @@ def mix(
     columns = others(docs, OUTPUTS)
     size = n_words(F.col(text))
     keyed = docs.select(
-        *columns, F.col(source).alias("_source"), size.alias("size"),
+        F.struct(*columns).alias("_row"), F.col(source).alias("_source"), size.alias("size"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("_tie"),
-        sample_key(F.col(doc_id), weight(F.col(text), size), seed).alias("_key"),
+        sample_key(F.col(doc_id), F.col(text), weight(F.col(text), size), seed).alias("_key"),
     ).withColumn("_bucket", _bucket(F.col("_key")))
     narrow = stored(
         keyed.select(
@@ -171,12 +203,21 @@ def mix(
     within = (F.col("_bucket") < F.col("edge")) | (
         (F.col("_bucket") == F.col("edge")) & (here <= F.col("cut"))
     )
-    copies = F.least(F.col("epochs") + F.coalesce(within.cast("long"), F.lit(0)), F.lit(cap))
+    planned = keyed.join(plan, F.col("_source").eqNullSafe(F.col("p_source")))
+    if plan.where("divided").isEmpty():
+        chosen = planned.withColumn("_more", within)
+    else:
+        # only here rows need a number: those of the tied rows among which a budget ends
+        tied = F.col("divided") & (F.col("_bucket") == F.col("edge")) & (here == F.col("cut"))
+        tied = F.coalesce(tied, F.lit(False))
+        chosen = planned.where(~tied).withColumn("_more", within).unionByName(
+            _numbered(planned.where(tied)).withColumn("_more", F.col("_nth") <= F.col("reached")).drop("_nth")
+        )
+    copies = F.least(F.col("epochs") + F.coalesce(F.col("_more").cast("long"), F.lit(0)), F.lit(cap))
     return (
-        keyed.join(plan, F.col("_source").eqNullSafe(F.col("p_source")))
-        .withColumn("copies", copies)
+        chosen.withColumn("copies", copies)
         .select(
-            *columns, "size", "source_size", "target", "copies",
+            "_row.*", "size", "source_size", "target", "copies",
             (F.col("size") * F.col("copies")).alias("taken"),
         )
     )
@@ -194,7 +235,7 @@ with d as (
   select doc_id, source,
     cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
     length(text) as chars,
-    (cast('0x' || substr(md5('17:' || coalesce(cast(doc_id as varchar), '')), 1, 13) as bigint) + 1)
+    (cast('0x' || substr(md5('17:' || coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, 13) as bigint) + 1)
       / (power(2, 52) + 1) as u
   from documents),
 keyed as (
@@ -222,7 +263,8 @@ budgets as (
   select *, case when source_size > 0 then least(floor(target / source_size), 3) else 0 end as epochs from goals),
 placed as (
   select k.doc_id, k.size, b.source_size, b.target, b.epochs,
-    sum(k.size) over (partition by k.source order by k.key, k.doc_id) as reached
+    sum(k.size) over (
+      partition by k.source order by k.key, k.doc_id rows between unbounded preceding and current row) as reached
   from keyed k join budgets b on k.source is not distinct from b.source)
 select doc_id, size, source_size, target,
   cast(size * least(3, epochs
