@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import frames as f
@@ -106,8 +107,13 @@ def test_a_batch_that_broke_off_is_completed_by_running_it_again(
         if stage == "parsed":
             patch.setattr(ing.docs, "parse", broken)
         elif stage == "commits":
-            patch.setattr(type(spark), "createDataFrame", broken)
-            patch.setattr(ing, "_stored", _stored_without_create(spark))
+            commit = ing.commits.commit
+
+            def commit_of_landing_only(session, root, entry, *rest):
+                landing = entry["load_batch"].startswith("landing-")
+                return commit(session, root, entry, *rest) if landing else broken()
+
+            patch.setattr(ing.commits, "commit", commit_of_landing_only)
         else:
             write = sinks.write_batch
 
@@ -152,16 +158,53 @@ def test_another_batch_takes_the_objects_of_one_that_broke_off(spark, tmp_path,
         ing.ingest(spark, both, schemas.LOAD, root, "a/b")
 
 
-def _stored_without_create(spark):
-    """``_stored`` for missing tables that does not go through ``createDataFrame``."""
-    real = ing._stored
+@pytest.mark.parametrize("table", ["landing", "actual_load", "ledger"])
+def test_a_writer_that_finishes_in_between_keeps_its_objects(spark, tmp_path, monkeypatch, table):
+    """Batch ``y`` runs whole while ``x`` has read what is there and not yet written ``table``."""
+    root, a, b, c = str(tmp_path), name("A", 20), name("B", 21), name("C", 22)
+    write, turns = sinks.write_batch, []
+
+    def write_batch(df, folder, to, *rest):
+        if to == table and not turns:
+            turns.append(to)
+            ing.ingest(spark, batch(spark, (b, payload(5)), (c, payload(6))), schemas.LOAD, root, "y")
+        return write(df, folder, to, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ing.sinks, "write_batch", write_batch)
+        rows = batch(spark, (a, payload(1)), (b, payload(2)))
+        ledger = ing.ingest(spark, rows, schemas.LOAD, root, "x")
+    landed_first = table != "landing"
+    assert statuses(ledger) == {a: (True, "loaded", 2), b: (landed_first, "already loaded", 0)}
+    assert values(spark, root) == [(a, 1.0), (b, 5.0), (c, 6.0)]
+    assert ing.batch_rows(spark, root, schemas.LOAD, "x").count() == 2
+    kept = {r.source_object_name: bytes(r.content).decode() for r in ing.landed(spark, root).collect()}
+    assert kept == {a: payload(1), b: payload(2 if landed_first else 5), c: payload(6)}
+    assert ing.landed(spark, root).count() == 3
+    # nothing of the attempt that was given up is left
+    keys = {r.load_batch for r in ing.commits.log(spark, root).collect()}
+    for folder in ("actual_load", "ledger", "landing"):
+        assert {p.name.split("=")[1] for p in (tmp_path / folder).glob("load_batch=*")} <= keys
 
-    def stored(session, path, ddl):
-        if not os.path.exists(path):
-            return session.range(0).select(F.from_json(F.lit("{}"), ddl).alias("r")).select("r.*")
-        return real(session, path, ddl)
 
-    return stored
+def test_commits_are_numbered_once(spark, tmp_path):
+    root = str(tmp_path)
+    ing.commits.open_log(spark, root)
+    assert ing.commits.last(spark, root) == 0
+
+    def commit(i):
+        entry = {"dataset": "d", "batch": f"b{i}", "load_batch": f"k{i}"}
+        return ing.commits.commit(spark, root, entry, 0, lambda later: False)
+
+    with ThreadPoolExecutor(6) as pool:
+        assert all(pool.map(commit, range(12)))
+    rows = ing.commits.log(spark, root).collect()
+    assert sorted(r.number for r in rows) == list(range(1, 13))
+    assert {r.load_batch for r in rows} == {f"k{i}" for i in range(12)}
+    entry = {"dataset": "d", "batch": "late", "load_batch": "late"}
+    assert not ing.commits.commit(spark, root, entry, 3, lambda later: later.count() == 9)
+    assert ing.commits.commit(spark, root, {**entry, "dataset": "e"}, 3, lambda later: later.count() > 0)
+    assert ing.commits.last(spark, root) == 13
 
 
 def test_strict_mode_fails_after_accounting(spark, tmp_path):

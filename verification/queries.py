@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -328,6 +329,23 @@ def other_batch_after_a_broken_one(spark: SparkSession, sf_dir: str) -> DataFram
     return comparable(tables.read_raw(spark, root, schemas.GENERATION))
 
 
+def writers_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW rows and landed objects after three overlapping batches that ran side by side."""
+    made = made_documents.generation_documents(_events(spark, sf_dir))
+    root = _folder(spark, "writers")
+    parts = {"x": _half(made, 0), "y": _half(made, 1), "all": made}
+    with ThreadPoolExecutor(len(parts)) as pool:
+        runs = [
+            pool.submit(ingest.ingest, spark, rows, schemas.GENERATION, root, batch)
+            for batch, rows in parts.items()
+        ]
+        for run in runs:
+            run.result()
+    rows = tables.read_raw(spark, root, schemas.GENERATION)
+    landed = ingest.landed(spark, root).groupBy("source_object_name").agg(F.count("*").alias("landed"))
+    return comparable(rows.join(landed, "source_object_name"))
+
+
 def rows_of_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of batch ``x`` beside a batch whose name begins alike."""
     made = made_documents.generation_documents(_events(spark, sf_dir))
@@ -693,6 +711,7 @@ QUERIES: dict[str, Query] = {
     "snk2_append_rerun": append_rerun,
     "snk2_broken_then_other_batch": other_batch_after_a_broken_one,
     "snk2_rows_of_one_batch": rows_of_one_batch,
+    "snk2_writers_at_once": writers_at_once,
     "snk2_json_lines": json_lines,
     "snk2_json_round_trip": json_round_trip,
     "snk4_provisioned": provisioned,

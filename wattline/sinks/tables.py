@@ -64,6 +64,12 @@ def batch_path(root: str, table: str, batch: str) -> str:
     return f"{root.rstrip('/')}/{table}/load_batch={batch}"
 
 
+def drop_batch(spark: SparkSession, root: str, table: str, batch: str) -> None:
+    """Removes the folder of a batch that will not be committed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(batch_path(root, table, batch))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_batch(
     df: DataFrame, root: str, table: str, batch: str, layout: Layout | None,
     folders: Sequence[str] = (),

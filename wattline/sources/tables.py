@@ -37,7 +37,7 @@ def read_table(
     return df.select(*schema.fieldNames(), *([day] if with_day and extra else []))
 
 
-COMMIT_DDL = "dataset string, batch string, load_batch string"
+COMMIT_DDL = "number bigint, dataset string, batch string, load_batch string"
 
 
 def committed(spark: SparkSession, root: str, table: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def committed(spark: SparkSession, root: str, table: DataFrame) -> DataFrame:
     The log has one row per attempt and the batch is a folder, so folders are skipped whole.
     """
     try:
-        log = spark.read.schema(COMMIT_DDL).parquet(f"{root.rstrip('/')}/commits")
+        log = spark.read.schema(COMMIT_DDL).json(f"{root.rstrip('/')}/commits")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
