@@ -5,6 +5,7 @@ from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline.sinks import json_rows as sink
@@ -107,3 +108,16 @@ def test_types_without_exact_form(spark):
         sink.encoded(spark.createDataFrame([(1.5,)], "v double"))
     with pytest.raises(TypeError, match="double"):
         source.decoded(spark.createDataFrame([("{}",)], "line string"), T.StructType([T.StructField("v", T.DoubleType())]))
+
+
+def test_values_are_looked_up_once(spark):
+    """A filter on errors and several uses of a value must not repeat the lookups."""
+    at, d = F.current_timestamp().alias("at"), F.col("id").cast("decimal(9,2)").alias("d")
+    lines = sink.encoded(spark.range(3).select(at, d))
+    schema = T.StructType([
+        T.StructField("at", T.TimestampType()), T.StructField("d", T.DecimalType(9, 2))
+    ])
+    rows = source.accepted(source.decoded(lines, schema), schema)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(") <= 2 * len(schema)
+    assert rows.count() == 3

@@ -50,25 +50,22 @@ def decoded(lines: DataFrame, schema: T.StructType, line: str = "line") -> DataF
     Columns of a line with errors hold what could be read. Blank lines and null have errors as
     well, and so has a line that repeats a key.
     """
-    whole = F.col(line)
-    parsed = F.try_parse_json(whole)
+    parsed = F.try_parse_json(F.col(line))
+    whole = F.col("_line")
     # A parser stops after the first value; in both brackets only a lone value is one.
     in_array = F.json_array_length(F.concat(F.lit("["), whole, F.lit("]")))
     in_object = F.size(F.json_object_keys(F.concat(F.lit('{"r":'), whole, F.lit("}"))))
-    lone = (in_array == 1) & (in_object == 1) & F.schema_of_variant(parsed).startswith("OBJECT")
+    lone = (in_array == 1) & (in_object == 1) & F.schema_of_variant("_parsed").startswith("OBJECT")
     names = F.json_object_keys(whole)
     expected = F.array(*[F.lit(f.name) for f in schema.fields])
 
-    def value(field: T.StructField) -> Column:
-        return F.try_variant_get(F.col("_parsed"), _path(field.name), "string")
+    # Every value is looked up, read and judged once, one step below the other: written as one
+    # expression each use would do all of it again.
+    numbered = list(enumerate(schema.fields))
 
-    def kind(field: T.StructField) -> Column:
-        return F.schema_of_variant(F.try_variant_get(F.col("_parsed"), _path(field.name), "variant"))
-
-    def checked(field: T.StructField) -> Column:
-        raw, found = value(field), kind(field)
+    def checked(n: int, field: T.StructField) -> Column:
         # VOID: null in the line. Null: no such key, reported with the keys.
-        typed = _read(field.dataType, raw)
+        found, typed = F.col(f"_kind{n}"), F.col(f"_typed{n}")
         wanted = "STRING" if _quoted(field.dataType) else (
             "BOOLEAN" if isinstance(field.dataType, T.BooleanType) else "BIGINT"
         )
@@ -76,9 +73,20 @@ def decoded(lines: DataFrame, schema: T.StructType, line: str = "line") -> DataF
         bad = (found != "VOID") & ((found != wanted) | typed.isNull())
         return F.when(missing | bad, F.lit(f"{field.name}: missing or invalid"))
 
-    keyed = lines.select(
-        whole.alias("_line"), parsed.alias("_parsed"),
-        F.when(lone, names).alias("_names"),
+    def looked_up(n: int, field: T.StructField) -> list[Column]:
+        path = _path(field.name)
+        kind = F.schema_of_variant(F.try_variant_get(F.col("_parsed"), path, "variant"))
+        value = F.try_variant_get(F.col("_parsed"), path, "string")
+        return [value.alias(f"_value{n}"), kind.alias(f"_kind{n}")]
+
+    keyed = (
+        lines.select(F.col(line).alias("_line"), parsed.alias("_parsed"))
+        .select("_line", "_parsed", F.when(lone, names).alias("_names"))
+        .select("_line", "_names", *[c for n, f in numbered for c in looked_up(n, f)])
+        .select(
+            "_line", "_names", *[f"_kind{n}" for n, _ in numbered],
+            *[_read(f.dataType, F.col(f"_value{n}")).alias(f"_typed{n}") for n, f in numbered],
+        )
     )
     extra = F.transform(
         F.array_except("_names", expected), lambda n: F.concat(n, F.lit(": unknown column"))
@@ -86,13 +94,14 @@ def decoded(lines: DataFrame, schema: T.StructType, line: str = "line") -> DataF
     lacking = F.transform(
         F.array_except(expected, F.col("_names")), lambda n: F.concat(n, F.lit(": no such key"))
     )
-    every = F.concat(extra, lacking, F.array(*[checked(f) for f in schema.fields]))
+    every = F.concat(extra, lacking, F.array(*[checked(n, f) for n, f in numbered]))
     errors = F.when(F.col("_names").isNull(), F.array(F.lit("line: not one JSON object"))).otherwise(
         F.filter(every, lambda e: e.isNotNull())
     )
+    # Exploding one value is a fence: a filter on errors would otherwise repeat all below it.
     return keyed.select(
-        *[_read(f.dataType, value(f)).alias(f.name) for f in schema.fields],
-        F.col("_line").alias(line), errors.alias("errors"),
+        *[F.col(f"_typed{n}").alias(f.name) for n, f in numbered],
+        F.col("_line").alias(line), F.explode(F.array(errors)).alias("errors"),
     )
 
 
