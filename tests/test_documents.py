@@ -337,3 +337,34 @@ def test_read_documents_names_objects_by_path(spark, tmp_path):
     (path.parent / "note.txt").write_text("no document")
     rows = d.read_documents(spark, str(tmp_path / "store")).collect()
     assert [(r.source_object_name, bytes(r.content)) for r in rows] == [(name, x.load().encode())]
+
+
+def test_encoding_is_looked_up_once(spark):
+    from wattline.sources import documents
+
+    rows = spark.createDataFrame(
+        [("a", bytearray(b"<x/>"))], "source_object_name string, content binary"
+    )
+    plan = documents.parse(rows, documents.LOAD)._jdf.queryExecution().optimizedPlan().toString()
+    # once in the first bytes, and once in the whole where those do not end the first tag
+    assert plan.count("encoding=") == 2
+
+
+def test_encoding_beyond_the_first_bytes(spark):
+    from wattline.sources import documents
+
+    far = b"\n" * 600 + b'<?xml version="1.0" encoding="windows-1252"?><x/>'
+    split = b"<?xml" + b" " * 600 + b'encoding="iso-8859-2"?><x/>'
+    none = b"<x>" + b" " * 600 + b'<?xml encoding="cp1250"?></x>'
+    made = [(i, bytearray(c)) for i, c in enumerate((far, split, none))]
+    rows = spark.createDataFrame(made, "id int, content binary")
+    found = rows.select("id", documents.declared_encoding(rows.content).alias("e")).collect()
+    assert {r.id: r.e for r in found} == {0: "WINDOWS-1252", 1: "ISO-8859-2", 2: ""}
+
+
+def test_documents_are_made_on_all_cores(spark):
+    from verification import made_documents
+
+    columns = "1 as user_id, 'a' as event_type, 1.0D as value, timestamp'2024-01-01 00:00:00' as ts"
+    events = spark.range(50, numPartitions=1).selectExpr("id as event_id", *columns.split(", "))
+    assert made_documents.load_documents(events).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
