@@ -255,6 +255,68 @@ def test_pairs_are_written_where_groups_meet_first(spark):
     assert len(copies) == len(set(copies)) == 12
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90, 100])
+def test_similar_sets_have_kept_shingles_in_common(percent):
+    """As many as a group must share to go on, in any order of the shingles."""
+    rng, found = random.Random(percent), 0
+    assert all(
+        ngram_join.common_length(n, percent) <= ngram_join.common_length(n + 1, percent) for n in range(1, 3000)
+    )
+    for _ in range(3000):
+        n = rng.randint(1, 120)
+        more = rng.randint(0, n * (100 - percent) // percent + 1)
+        x, y = range(n), set(rng.sample(range(n), n - rng.randint(0, min(n, more)))) | {n + k for k in range(more)}
+        if 100 * len(y.intersection(x)) < percent * len(y.union(x)):
+            continue
+        found += 1
+        rank = rng.sample(range(n + more), n + more)
+        kept = [set(sorted(z, key=rank.__getitem__)[: ngram_join.kept_length(len(z), percent)]) for z in (x, y)]
+        common = len(kept[0] & kept[1])
+        assert common >= max(ngram_join.common_length(len(z), percent) for z in (x, y))
+    assert found > 100
+
+
+def test_groups_that_share_too_little_go_no_further(spark, monkeypatch):
+    """Texts that share a passage each with another one, far from similar, and one near pair."""
+    texts = []
+    for i in range(200):
+        own = [f"t{i}w{k}" for k in range(60)]
+        texts.append(own + [f"p{i // 2}x{k}" for k in range(6)])
+    texts.append(texts[0][:64] + ["changed"])
+    kept = {}
+    stored = ngram_join.stored
+
+    def counted(df, label):
+        out = stored(df, label)
+        kept[label] = out
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    found = ngram_join.similar_documents(docs).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == plain_join(docs.collect())
+    assert kept["ngram-met"].select("gid").distinct().count() == 2
+
+
+def test_stars_leave_out_groups_of_other_sizes(spark, monkeypatch):
+    """Long and short texts of the same words meet often; only those of like sizes are compared."""
+    base = [f"w{k}" for k in range(120)]
+    texts = [base[: 30 + 9 * (i % 10)] + [f"own{i}"] for i in range(60)]
+    tried = []
+    near = ngram_join._near
+
+    def counted(pairs, sets, percent):
+        size = {r.sid: r.n for r in sets.collect()}
+        tried.append([(size[r.a], size[r.b]) for r in pairs.collect()])
+        return near(pairs, sets, percent)
+
+    monkeypatch.setattr(ngram_join, "_near", counted)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    found = ngram_join.similar_documents(docs).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == plain_join(docs.collect())
+    assert tried[0] and all(100 * min(pair) >= 90 * max(pair) for pair in tried[0])
+
+
 def test_ngram_join_lower_limit_and_empty(spark):
     docs = frames.made_docs(spark, 200, seed=8)
     found = ngram_join.similar_documents(docs, percent=70, block=32).collect()
