@@ -289,6 +289,20 @@ def test_recall_of_the_forest(spark):
     assert hits >= 0.95 * 500
 
 
+def test_components_end_with_the_stars(spark, monkeypatch):
+    """No round only shows that nothing moves: stars are written once, a chain until it is one."""
+    written = []
+    stored = graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, label: written.append(label) or stored(df, label))
+    stars = [(v, v % 5) for v in range(5, 60)] + [(3, 3), (0, 10), (10, 0)]
+    found = {x.id: x.root for x in graph.components(spark.createDataFrame(stars, "a long, b long"), "t").collect()}
+    assert found == {v: v % 5 for v in range(5, 60)} and len(written) == 1
+    edges = [[(1, 2), (2, 3)], [(2, 1), (3, 2), (4, 3), (5, 4)], [(3, 1), (3, 2)]]
+    for chain in edges:
+        found = {x.id: x.root for x in graph.components(spark.createDataFrame(chain, "a long, b long"), "t").collect()}
+        assert found == {v: 1 for v in range(2, max(max(e) for e in chain) + 1)}
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(k, k + 1) for k in range(400, 440)] + [(500, k) for k in range(501, 560)]

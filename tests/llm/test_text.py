@@ -317,6 +317,18 @@ def test_stars_leave_out_groups_of_other_sizes(spark, monkeypatch):
     assert tried[0] and all(100 * min(pair) >= 90 * max(pair) for pair in tried[0])
 
 
+@pytest.mark.parametrize("value", [None, "5GB"])
+def test_the_join_leaves_the_session_as_it_was(spark, value):
+    """Filters of join keys are for the texts alone: elsewhere each costs stages and driver memory."""
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    try:
+        assert ngram_join.similar_documents(frames.awkward_docs(spark)).count() == 16
+        assert spark.conf.get(name, None) == value
+    finally:
+        spark.conf.unset(name)
+
+
 def test_ngram_join_lower_limit_and_empty(spark):
     docs = frames.made_docs(spark, 200, seed=8)
     found = ngram_join.similar_documents(docs, percent=70, block=32).collect()

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import stored
 
 
-def _written(edges: DataFrame, label: str) -> tuple[DataFrame, tuple]:
-    """Stored edges, and what tells two edge sets apart: their number, and hashes of all edges
-    folded by xor, which cannot overflow. Both are gathered while the edges are written."""
-    seen = Observation()
-    marks = (F.xxhash64("a", "b"), F.xxhash64("b", "a"))
-    folded = (F.bit_xor(mark).alias(f"mark{i}") for i, mark in enumerate(marks))
-    written = stored(edges.observe(seen, F.count("*").alias("n"), *folded), label)
-    return written, (seen.get["n"], seen.get["mark0"], seen.get["mark1"])
+def _settled(edges: DataFrame) -> bool:
+    """Whether every vertex hangs on one other, which hangs on nothing: one shuffle of sums."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("hung"), F.lit(0).alias("held")).unionByName(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("hung"), F.lit(1).alias("held"))
+    )
+    vertices = ends.groupBy("v").agg(F.sum("hung").alias("hung"), F.max("held").alias("held"))
+    return not vertices.agg(F.max((F.col("hung") + F.col("held") > 1) & (F.col("hung") > 0))).first()[0]
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -23,16 +22,17 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     ``edges`` has columns a and b (long, in any order). Each round hangs the larger neighbours
     of a vertex on the smallest (large star), then all smaller neighbours likewise (small
-    star), until nothing moves: a number of rounds that grows with the logarithm of the
-    vertices. Minima are combined before they are shuffled, and the joins have one row per
+    star), until only stars are left: a number of rounds that grows with the logarithm of the
+    vertices. An edge always leads to its smaller end, so the centre of a star is its root.
+    Minima are combined before they are shuffled, and the joins have one row per
     vertex on one side, so that hubs can be split. Every round is written to the shared folder.
     """
-    now, state = _written(
+    now = stored(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         label,
     )
-    while True:
+    while not _settled(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
         large = (
@@ -46,7 +46,5 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             .unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
             .distinct()
         )
-        before = state
-        now, state = _written(small, label)
-        if state == before:
-            return now.select(F.col("a").alias("id"), F.col("b").alias("root"))
+        now = stored(small, label)
+    return now.select(F.col("a").alias("id"), F.col("b").alias("root"))
