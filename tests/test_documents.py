@@ -5,6 +5,7 @@ import pytest
 import xml_samples as x
 from pyspark.sql import functions as F
 
+from verification import made_documents
 from wattline.sources import documents as d
 
 SPECS = {"load": d.LOAD, "generation": d.GENERATION, "prices": d.PRICES}
@@ -368,3 +369,27 @@ def test_documents_are_made_on_all_cores(spark):
     columns = "1 as user_id, 'a' as event_type, 1.0D as value, timestamp'2024-01-01 00:00:00' as ts"
     events = spark.range(50, numPartitions=1).selectExpr("id as event_id", *columns.split(", "))
     assert made_documents.load_documents(events).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_usual_roots_are_told_by_one_pattern(spark):
+    usual = [x.load(), x.prices(), "<a></a>", " <?xml version='1.0'?><!-- b --><a>/ </b></a>\n\t"]
+    other = [
+        "", "<a>", "<a/>", "a", "</a><a></a>", "<!-- </a> --><a></a>", "<a></a>x", "<a></a><!-- c -->",
+        "<ab></a>", "<ab><a></a>", "<a><a></a></a>", "<a></a></a>", "<a>x/a></a>", "<a>/a>", "<a>/a> </a>", "<a b='1'></a >",
+    ]
+    rows = spark.createDataFrame([(t,) for t in usual + other], "xml string")
+    root, trimmed = d._root_tag(F.col("xml")), d._trimmed(F.col("xml"))
+    got = {r.xml: (r.usual, r.single) for r in rows.select(
+        "xml", F.col("xml").rlike(d._USUAL_ROOT).alias("usual"),
+        d._single_root(F.col("xml"), root, trimmed).alias("single")).collect()}
+    assert [got[t][0] for t in usual] == [True] * len(usual)
+    assert [t for t in got if got[t][0] and not got[t][1]] == []
+    assert not any(got[t][0] for t in other)
+    long = "<a>" + "<b>/</b>" * 200_000 + "</a>"
+    assert spark.createDataFrame([(long,)], "xml string").filter(F.col("xml").rlike(d._USUAL_ROOT)).count()
+
+
+def test_documents_are_made_in_parts_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(made_documents, "_PART", 10)
+    events = spark.range(995).selectExpr("id as event_id", "timestamp_seconds(id) as ts")
+    assert made_documents._spread(events).rdd.getNumPartitions() == 100

@@ -182,3 +182,14 @@ def test_raw_schemas():
         "actual_generation": ("point_date", ("in_bidding_zone", "out_bidding_zone", "psr_type")),
         "day_ahead_prices": ("point_date", ("in_domain", "out_domain")),
     }
+
+
+def test_a_text_is_looked_up_once(spark):
+    def plan(column):
+        frame = spark.createDataFrame([("x",)], "x string").select(column)
+        return frame._jdf.queryExecution().analyzed().toString()
+
+    assert plan(text.offset_timestamp(F.upper("x")).alias("t")).count("upper(") == 1
+    assert plan(text.duration_seconds(F.col("x")).alias("t")).count("regexp_extract(") == 3
+    start = F.current_timestamp()
+    assert plan(text.later(start, F.length("x"), F.lit(1)).alias("t")).count("length(") == 1
