@@ -187,6 +187,61 @@ def test_a_writer_that_finishes_in_between_keeps_its_objects(spark, tmp_path, mo
         assert {p.name.split("=")[1] for p in (tmp_path / folder).glob("load_batch=*")} <= keys
 
 
+def parsed_names(patch):
+    """Names in each call of the parse."""
+    parse, calls = docs.parse, []
+
+    def seen(rows, spec):
+        calls.append(sorted(r.source_object_name for r in rows.select("source_object_name").collect()))
+        return parse(rows, spec)
+
+    patch.setattr(ing.docs, "parse", seen)
+    return calls
+
+
+@pytest.mark.parametrize("table", ["landing", "ledger"])
+def test_a_writer_that_lost_parses_no_document_twice(spark, tmp_path, monkeypatch, table):
+    """What others loaded while it landed is not parsed; after a lost commit nothing is parsed anew."""
+    root, a, b, c = str(tmp_path), name("A", 20), name("B", 21), name("C", 22)
+    write, turns = sinks.write_batch, []
+
+    def write_batch(df, folder, to, *rest):
+        if to == table and not turns:
+            turns.append(to)
+            ing.ingest(spark, batch(spark, (b, payload(5)), (c, "<bad")), schemas.LOAD, root, "y")
+        return write(df, folder, to, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ing.sinks, "write_batch", write_batch)
+        calls = parsed_names(patch)
+        rows = batch(spark, (a, payload(1)), (b, payload(2)), (c, payload(6)))
+        ledger = ing.ingest(spark, rows, schemas.LOAD, root, "x")
+    assert calls == ([[b, c], [a, c]] if table == "landing" else [[a, b, c], [b, c]])
+    first = table != "landing"
+    assert statuses(ledger) == {
+        a: (True, "loaded", 2), b: (first, "already loaded", 0), c: (first, "loaded", 2)}
+    assert values(spark, root) == [(a, 1.0), (b, 5.0), (c, 6.0)]
+
+
+def test_a_commit_in_the_last_moment_is_seen(spark, tmp_path, monkeypatch):
+    """Batch ``y`` runs whole after ``x`` looked for other commits and before it takes a number."""
+    root, a, b = str(tmp_path), name("A", 20), name("B", 21)
+    free, turns = ing.commits._name_if_free, []
+
+    def name_if_free(session, folder, number, line):
+        if "actual_load-x-" in line and not turns:
+            turns.append(number)
+            ing.ingest(spark, batch(spark, (b, payload(5))), schemas.LOAD, root, "y")
+        return free(session, folder, number, line)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ing.commits, "_name_if_free", name_if_free)
+        rows = batch(spark, (a, payload(1)), (b, payload(2)))
+        ledger = ing.ingest(spark, rows, schemas.LOAD, root, "x")
+    assert statuses(ledger) == {a: (True, "loaded", 2), b: (True, "already loaded", 0)}
+    assert values(spark, root) == [(a, 1.0), (b, 5.0)]
+
+
 def test_commits_are_numbered_once(spark, tmp_path):
     root = str(tmp_path)
     ing.commits.open_log(spark, root)
