@@ -242,6 +242,35 @@ def test_a_commit_in_the_last_moment_is_seen(spark, tmp_path, monkeypatch):
     assert values(spark, root) == [(a, 1.0), (b, 5.0)]
 
 
+def test_payloads_are_looked_up_and_written_as_far_as_needed(spark, tmp_path, monkeypatch):
+    """A first batch reads its documents once; contents of loaded objects are not written again."""
+    root, a, b, c = str(tmp_path), name("A", 20), name("B", 21), name("C", 22)
+    day_range, written, ranges, kept = ing._day_range, ing._written, [], []
+
+    def seen_range(rows, dataset):
+        ranges.append("loaded" in rows.columns)
+        return day_range(rows, dataset)
+
+    def seen_written(session, df, label):
+        out = written(session, df, label)
+        if label == "payloads":
+            kept.append({r.source_object_name for r in out.filter("content is not null").collect()})
+        return out
+
+    monkeypatch.setattr(ing, "_day_range", seen_range)
+    monkeypatch.setattr(ing, "_written", seen_written)
+    ing.ingest(spark, batch(spark, (a, payload(1)), (b, "<bad")), schemas.LOAD, root, "x")
+    rows = batch(spark, (a, payload(7)), (b, payload(2)), (c, payload(3)))
+    ledger = ing.ingest(spark, rows, schemas.LOAD, root, "y")
+    assert ranges == [True, False]
+    assert kept == [{a, b}, {b, c}]
+    assert statuses(ledger) == {
+        a: (False, "already loaded", 0), b: (False, "loaded", 2), c: (True, "loaded", 2)}
+    assert values(spark, root) == [(a, 1.0), (b, 2.0), (c, 3.0)]
+    # landing alone gives all contents back
+    assert ing.land(spark, rows, schemas.LOAD, root).filter("content is null").isEmpty()
+
+
 def test_commits_are_numbered_once(spark, tmp_path):
     root = str(tmp_path)
     ing.commits.open_log(spark, root)
